@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from transit_engine.constants import POI_GROUPS, POI_TAGS, ROAD_CLASSES
+from transit_engine.constants import (
+    AMENITY_GROUP_LABELS,
+    POI_CATEGORY_LABELS,
+    POI_GROUPS,
+    POI_TAGS,
+    ROAD_CLASSES,
+    ROUTE_TYPE_LABELS,
+)
 
 
 def _values(names) -> str:
@@ -145,8 +152,8 @@ BASE = {
             DATE '2024-01-01' + CAST((c_custkey * (k + 1)) % 45 AS INTEGER) AS service_date,
             CAST(1 + (c_custkey + k) % 2 AS INTEGER) AS exception_type
         FROM customer, cities, (VALUES (0), (1), (2)) AS v(k)""",
-    "s_live": f"""
-        SELECT {_city('user_id')} AS city, 'veh-' || user_id AS vehicle_id,
+    "live_events": f"""
+        SELECT event_id, user_id, event_type, ts, {_city('user_id')} AS city, 'veh-' || user_id AS vehicle_id,
             CASE WHEN user_id % 17 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS route_id,
             'Route ' || (user_id % 40) AS route_label,
             CAST(event_id % 500 AS VARCHAR) AS trip_id, CAST(event_id % 300 AS VARCHAR) AS stop_id,
@@ -164,6 +171,7 @@ BASE = {
             CASE WHEN event_id % 13 <> 0 THEN ts END AS feed_timestamp, 'test' AS source,
             event_id * 2 + CASE WHEN event_id % 17 = 0 THEN 101 ELSE 0 END AS seq
         FROM events""",
+    "s_live": "SELECT * EXCLUDE (event_id, user_id, event_type, ts) FROM live_events",
     "weekday_dates": f"""
         SELECT city, service_id, service_date FROM (
             SELECT *, UNNEST(generate_series(CAST(first_date AS TIMESTAMP),
@@ -320,11 +328,6 @@ BASE = {
         SELECT * FROM s_live QUALIFY ROW_NUMBER() OVER (
             PARTITION BY city, vehicle_id ORDER BY seq DESC) = 1""",
 }
-_RECORD = [
-    "city", "vehicle_id", "route_id", "route_label", "trip_id", "stop_id", "label", "latitude",
-    "longitude", "bearing", "speed", "current_status", "occupancy_status", "direction_id",
-    "route_type", "updated_at", "feed_timestamp", "source",
-]
 
 
 def _first(columns: str, keys: str, source: str, where: str) -> str:
@@ -518,6 +521,486 @@ FINAL: dict[str, str] = {
 }
 
 
+# Sort orders of the ranked reports.
+_ORDERS = {
+    "activity": "avg_daily_stop_events DESC NULLS LAST, trip_count DESC NULLS LAST, "
+    "poi_count_within_400m DESC NULLS LAST, stop_id",
+    "poi": "poi_count_within_400m DESC, food_poi_count_within_400m DESC, stop_id",
+    "routes": "avg_daily_stop_events DESC, stop_event_count DESC, distinct_trip_count DESC, "
+    "route_id",
+    "routes_poi": "total_poi_access DESC NULLS LAST, avg_poi_access_per_stop DESC NULLS LAST, "
+    "route_id",
+    "roads": "coverage_pct DESC NULLS LAST, total_length_km DESC NULLS LAST, highway",
+    "amenity": "amenity_count DESC, poi_group",
+    "mode": "stop_event_count DESC, route_type NULLS LAST",
+    "catalog": "avg_daily_stop_events DESC, stop_event_count DESC, route_short_name NULLS LAST, "
+    "route_long_name NULLS LAST, route_id",
+}
+
+
+def _top(columns: str, source: str, order: str, limit: int) -> str:
+    return (
+        f"SELECT {columns} FROM {source} QUALIFY ROW_NUMBER() OVER "
+        f"(PARTITION BY city ORDER BY {_ORDERS[order]}) <= {limit}"
+    )
+
+
+def _ranked(section: str, item: str, value: str, source: str, order: str, limit: int) -> str:
+    return (
+        f"SELECT city, '{section}' AS section, CAST(ROW_NUMBER() OVER (PARTITION BY city ORDER BY "
+        f"{_ORDERS[order]}) AS INTEGER) AS position, CAST({item} AS VARCHAR) AS item, "
+        f"CAST({value} AS DOUBLE) AS value FROM {source} QUALIFY position <= {limit}"
+    )
+
+
+_DASHBOARD = " UNION ALL ".join([
+    _ranked("top_stops_by_activity", "stop_id", "avg_daily_stop_events", "busiest", "activity", 200),
+    _ranked("top_stops_by_poi", "stop_id", "poi_count_within_400m", "stop_poi_access", "poi", 200),
+    _ranked("top_routes_by_activity", "route_id", "avg_daily_stop_events", "route_activity",
+            "routes", 25),
+    _ranked("top_routes_by_poi", "route_id", "total_poi_access", "route_poi_access", "routes_poi",
+            25),
+    _ranked("road_coverage", "highway", "coverage_pct", "road_coverage", "roads", 500),
+    _ranked("amenity_mix", "poi_group", "amenity_count", "mix_amenity", "amenity", 500),
+    _ranked("route_mode_mix", "route_type", "stop_event_count", "mix_mode", "mode", 500),
+])
+_FEATURED = f"({_top('city, route_id', 'route_activity', 'catalog', 1)})"
+_DETAIL = f"""
+    SELECT city, route_id, 'stop' AS part, '' AS shape_id, stop_rank AS position,
+        stop_lat AS lat, stop_lon AS lon
+    FROM ranked_stops WHERE stop_rank <= 80 AND (city, route_id) IN {_FEATURED}
+    UNION ALL
+    SELECT city, route_id, 'path', shape_id, CAST(ROW_NUMBER() OVER (PARTITION BY city, route_id,
+        shape_id ORDER BY shape_pt_sequence) AS INTEGER), lat, lon
+    FROM paths WHERE (city, route_id) IN {_FEATURED}"""
+_CITY_ROWS = (
+    "(VALUES ('boston', 'Boston', 42.3601e0, -71.0589e0, 11.2e0, TRUE, TRUE), "
+    "('chicago', 'Chicago', 41.8781e0, -87.6298e0, 10.6e0, TRUE, TRUE)) AS d(city, display_name, "
+    "latitude, longitude, zoom, supports_batch, supports_live)"
+)
+_ROLLUP = f"""
+    SELECT city, route_id, COALESCE(NULLIF(stop_name, ''), stop_id) AS stop_key,
+        FIRST(stop_id ORDER BY stop_rank) AS stop_id, FIRST(stop_name ORDER BY stop_rank) AS stop_name,
+        FIRST(stop_lat ORDER BY stop_rank) AS stop_lat, FIRST(stop_lon ORDER BY stop_rank) AS stop_lon,
+        COUNT(*) AS stop_instances, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+        {_rounded('SUM(avg_daily_stop_events)')} AS avg_daily_stop_events,
+        {', '.join(f'COALESCE(MAX({n}), 0) AS {n}' for n in ACCESS_COUNTS)},
+        COALESCE(ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(
+            STRING_SPLIT(poi_categories, ', ')) FILTER (poi_categories IS NOT NULL)))), ', '), '')
+            AS poi_categories
+    FROM ranked_stops GROUP BY city, route_id, stop_key"""
+_AVG_OR_TRIPS = "COALESCE(NULLIF(avg_daily_stop_events, 0), trip_count, 0)"
+_CATEGORY_CASE = "CASE x " + " ".join(
+    f"WHEN '{key}' THEN '{label}'" for key, label in POI_CATEGORY_LABELS.items()
+) + " ELSE REPLACE(x, '_', ' ') END"
+
+
+def _case(column: str, labels: dict, other: str) -> str:
+    return f"CASE {column} " + " ".join(
+        f"WHEN {key!r} THEN '{label}'" for key, label in labels.items()
+    ) + f" ELSE {other} END"
+
+
+_TIER = """CASE WHEN ratio > 0.75e0 THEN 3 WHEN ratio > 0.45e0 THEN 2 WHEN ratio > 0.2e0 THEN 1
+    ELSE 0 END"""
+
+
+def _lens(lens: str, score: str) -> str:
+    return f"""
+        SELECT city, stop_id, '{lens}' AS lens, {_TIER} AS tier FROM (
+            SELECT city, stop_id, COALESCE({score} / NULLIF(MAX({score}) OVER (PARTITION BY city),
+                0), 0) AS ratio FROM busiest)"""
+
+
+_SHOWN = """
+    SELECT city, stop_id, stop_name, trip_count, stop_lat, stop_lon FROM stop_activity_enriched
+    WHERE trip_count >= 18
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY city ORDER BY trip_count DESC, stop_id) <= 300"""
+
+
+def _needs(column: str, noun: str) -> str:
+    return f"CASE WHEN {column} > 0 THEN format('{{:,}}', {column}) || ' {noun}' END"
+
+
+def _picked(section: str, item: str, source: str, order: str, limit: int) -> str:
+    return (
+        f"SELECT city, '{section}' AS section, '' AS route_id, CAST(ROW_NUMBER() OVER (PARTITION "
+        f"BY city ORDER BY {_ORDERS[order]}) AS INTEGER) AS position, "
+        f"CAST({item} AS VARCHAR) AS item FROM {source} QUALIFY position <= {limit}"
+    )
+
+
+_ROUTE_COLUMNS = (
+    f"city, route_id, {_NAMES}, stop_event_count, distinct_trip_count, distinct_stop_count, "
+    "avg_daily_stop_events"
+)
+FINAL |= {
+    "top_stops_activity": _top(
+        f"city, stop_id, stop_name, stop_lat, stop_lon, trip_count, avg_daily_stop_events, "
+        f"{_ACCESS_OUT}", "busiest", "activity", 200,
+    ),
+    "top_stops_poi": _top(
+        f"city, stop_id, stop_name, stop_lat, stop_lon, {_ACCESS_OUT}", "stop_poi_access", "poi",
+        200,
+    ),
+    "top_routes_activity": _top(_ROUTE_COLUMNS, "route_activity", "routes", 25),
+    "top_routes_poi": _top("*", "route_poi_access", "routes_poi", 25),
+    "road_coverage_report": "SELECT * FROM road_coverage",
+    "amenity_mix": "SELECT * FROM mix_amenity",
+    "route_mode_mix": "SELECT * FROM mix_mode",
+    "route_catalog": _top(_ROUTE_COLUMNS, "route_activity", "catalog", 500),
+    "route_summary": "SELECT * FROM route_summary",
+    "route_stop_context": f"""
+        SELECT city, route_id, {_NAMES}, stop_id, stop_name, stop_lat, stop_lon, trip_count,
+            avg_daily_stop_events, {_ACCESS_OUT} FROM context""",
+    "route_top_stops": f"""
+        SELECT city, route_id, {_NAMES}, stop_id, stop_name, stop_lat, stop_lon, trip_count,
+            avg_daily_stop_events, {_ACCESS_OUT}, stop_rank
+        FROM ranked_stops WHERE stop_rank <= 12""",
+    "route_preview": """
+        SELECT s.city, s.route_id, s.stop_event_count, s.total_poi_access, stop_rank, r.stop_id,
+            r.trip_count
+        FROM route_summary s LEFT JOIN ranked_stops r
+            ON r.city = s.city AND r.route_id = s.route_id AND stop_rank <= 12""",
+    "route_shape_points": f"""
+        SELECT city, route_id, shape_id, shape_pt_sequence, shape_pt_lat, shape_pt_lon
+        FROM route_shapes WHERE city = 'boston' AND (city, route_id) IN {_FEATURED}""",
+    "route_paths": """
+        SELECT city, route_id, shape_id, shape_pt_sequence, lon, lat FROM paths""",
+    "route_detail": _DETAIL,
+    "city_overview": "SELECT * FROM overview",
+    "busiest_stop": """
+        SELECT city, stop_name, trip_count, avg_daily_stop_events FROM stop_activity_enriched
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY city
+            ORDER BY avg_daily_stop_events DESC, trip_count DESC, stop_id) = 1""",
+    "busiest_route": """
+        SELECT city, route_id, route_short_name, route_long_name, stop_event_count,
+            avg_daily_stop_events FROM route_activity
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY city
+            ORDER BY avg_daily_stop_events DESC, stop_event_count DESC, route_id) = 1""",
+    "poi_leader": _top(
+        f"city, stop_name, {', '.join(ACCESS_COUNTS)}, poi_categories", "stop_poi_access", "poi", 1
+    ),
+    "city_dimension": f"""
+        SELECT d.*, vehicles FROM {_CITY_ROWS} LEFT JOIN (
+            SELECT city, COUNT(DISTINCT vehicle_id) AS vehicles FROM s_live GROUP BY city) v
+            ON v.city = d.city""",
+    "city_comparison": f"""
+        SELECT o.city, display_name, total_stops, total_routes, total_stop_events,
+            avg_daily_stop_events, stops_with_poi_context, avg_poi_access_per_stop,
+            busiest_stop, busiest_route, poi_leader
+        FROM overview o JOIN {_CITY_ROWS} ON d.city = o.city
+        JOIN (SELECT city, FIRST(stop_name ORDER BY avg_daily_stop_events DESC, trip_count DESC,
+                stop_id) AS busiest_stop FROM stop_activity_enriched GROUP BY city) a
+            ON a.city = o.city
+        JOIN (SELECT city, FIRST(route_id ORDER BY avg_daily_stop_events DESC,
+                stop_event_count DESC, route_id) AS busiest_route
+            FROM route_activity GROUP BY city) b ON b.city = o.city
+        JOIN (SELECT city, FIRST(stop_name ORDER BY {_ORDERS['poi']}) AS poi_leader
+            FROM stop_poi_access GROUP BY city) p ON p.city = o.city""",
+    "city_dashboard": _DASHBOARD,
+    "city_snapshot": f"""
+        SELECT city, 'dashboard' AS part, COUNT(*) AS entries FROM ({_DASHBOARD}) GROUP BY city
+        UNION ALL SELECT city, 'routes', LEAST(COUNT(*), 500) FROM route_activity GROUP BY city
+        UNION ALL SELECT r.city, 'preview_stops', COUNT(*) FROM ranked_stops r
+            JOIN route_activity a ON a.city = r.city AND a.route_id = r.route_id
+            WHERE stop_rank <= 12 GROUP BY r.city
+        UNION ALL SELECT city, 'featured', COUNT(*) FROM ({_DETAIL}) GROUP BY city""",
+    "bootstrap_snapshot": f"""
+        SELECT d.city, display_name, total_stops, total_routes, a.city || ':' || a.route_id AS key,
+            stop_event_count,
+            (SELECT CAST(COUNT(*) AS INTEGER) FROM ranked_stops r WHERE r.city = a.city
+                AND r.route_id = a.route_id AND stop_rank <= 80) AS stops,
+            (SELECT CAST(COUNT(DISTINCT shape_id) AS INTEGER) FROM paths p WHERE p.city = a.city
+                AND p.route_id = a.route_id) AS paths
+        FROM {_CITY_ROWS} JOIN overview o ON o.city = d.city
+        JOIN route_activity a ON a.city = d.city
+        WHERE (a.city, a.route_id) IN {_FEATURED}""",
+    "records_normalise": f"""
+        SELECT city, stop_id, {_rounded('nearest_hospital_m', 3)} AS nearest_hospital_m
+        FROM stop_poi_access""",
+    "route_stop_rollup": _ROLLUP,
+    "share_of_total": f"""
+        SELECT city, poi_group, {_rounded('n / t', 6)} AS share,
+            {_rounded('(u - n) / t', 6)} AS share_start, {_rounded('u / t', 6)} AS share_end
+        FROM (SELECT city, poi_group, amenity_count AS n,
+            SUM(amenity_count) OVER (PARTITION BY city) AS t,
+            SUM(amenity_count) OVER (PARTITION BY city ORDER BY amenity_count DESC, poi_group) AS u
+            FROM mix_amenity)""",
+    "ratio_to_max": f"""
+        SELECT city, route_id, {_rounded('stop_event_count / MAX(stop_event_count) OVER '
+            '(PARTITION BY city) * 100', 6)} AS width_pct FROM route_activity""",
+    "availability_tier": f"""
+        SELECT city, stop_id, {_rounded('ratio', 6)} AS ratio,
+            CASE WHEN ratio >= 0.82e0 THEN 'very high' WHEN ratio >= 0.55e0 THEN 'high'
+                WHEN ratio >= 0.28e0 THEN 'moderate' ELSE 'lower' END AS tier
+        FROM (SELECT city, stop_id, {_AVG_OR_TRIPS} / MAX({_AVG_OR_TRIPS}) OVER
+            (PARTITION BY city) AS ratio FROM stop_activity_enriched)""",
+    "lens_score_tier": _lens("service", "COALESCE(avg_daily_stop_events, trip_count, 0)")
+    + " UNION ALL " + _lens("access", "COALESCE(poi_count_within_400m, 0)"),
+    "trip_count_tier": """
+        SELECT city, route_id, stop_event_count * 20 AS trip_count,
+            CASE WHEN stop_event_count * 20 < 500 THEN 'lower'
+                WHEN stop_event_count * 20 < 1000 THEN 'medium'
+                WHEN stop_event_count * 20 < 1500 THEN 'high' ELSE 'very high' END AS tier
+        FROM route_activity""",
+    "route_extent": f"""
+        SELECT city, route_id, {_rounded('a', 6)} AS min_lon, {_rounded('b', 6)} AS max_lon,
+            {_rounded('c', 6)} AS min_lat, {_rounded('d', 6)} AS max_lat,
+            {_rounded('(c + d) / 2', 6)} AS latitude, {_rounded('(a + b) / 2', 6)} AS longitude,
+            {_rounded('span', 6)} AS span,
+            CASE WHEN span > 0.7e0 THEN 9.6e0 WHEN span > 0.45e0 THEN 10.3e0
+                WHEN span > 0.2e0 THEN 11e0 WHEN span > 0.08e0 THEN 11.8e0
+                WHEN span > 0.03e0 THEN 12.8e0 ELSE 12.3e0 END AS zoom
+        FROM (SELECT *, GREATEST(b - a, d - c) AS span FROM (
+            SELECT city, route_id, MIN(lon) AS a, MAX(lon) AS b, MIN(lat) AS c, MAX(lat) AS d
+            FROM (SELECT city, route_id, stop_lon AS lon, stop_lat AS lat
+                    FROM stop_activity_by_route
+                UNION ALL SELECT city, route_id, lon, lat FROM paths)
+            GROUP BY city, route_id))""",
+    "finite_coordinates": f"""WITH {_NODES}
+        SELECT city, osm_id, end_lon, end_lat FROM ({_SEGMENTS}) WHERE end_lon IS NOT NULL""",
+    "display_topk": " UNION ALL ".join([
+        _picked("amenity_mix", "poi_group", "mix_amenity", "amenity", 6),
+        _picked("mode_mix", "route_type", "mix_mode", "mode", 5),
+        _picked("stops", "stop_id", "busiest", "activity", 8),
+        _picked("stops_poi", "stop_id", "stop_poi_access", "poi", 8),
+        _picked("routes", "route_id", "route_activity", "routes", 8),
+        f"""SELECT city, 'route_stops', route_id, CAST(ROW_NUMBER() OVER (PARTITION BY city,
+            route_id ORDER BY poi_count_within_400m DESC, trip_count DESC, stop_key) AS INTEGER)
+            AS position, stop_key FROM ({_ROLLUP}) QUALIFY position <= 8""",
+    ]),
+    "stop_display_label": f"""
+        SELECT city, route_id, stop_key, stop_key || CASE WHEN stop_instances > 1
+            THEN ' (' || stop_instances || ' platforms)' ELSE '' END AS display_label
+        FROM ({_ROLLUP})""",
+    "labels": f"""
+        SELECT city, stop_id,
+            COALESCE(ARRAY_TO_STRING(LIST_TRANSFORM(STRING_SPLIT(poi_categories, ', ')[1:4],
+                lambda x: {_CATEGORY_CASE}), ', '), '') AS category_labels,
+            COALESCE(NULLIF(CONCAT_WS(' · ',
+                {_needs('food_poi_count_within_400m', 'food options')},
+                {_needs('critical_service_poi_count_within_400m',
+                        'schools, healthcare, or groceries')},
+                {_needs('park_poi_count_within_400m', 'park/garden/play features')}), ''),
+                'No matched daily-needs POIs within 400m') AS daily_needs
+        FROM busiest""",
+    "labels_routes": f"""
+        SELECT city, route_id, COALESCE(NULLIF(CONCAT_WS(' — ', route_short_name,
+            route_long_name), ''), route_id) AS route_label,
+            {_case('route_type', ROUTE_TYPE_LABELS, "'Transit'")} AS mode
+        FROM s_routes""",
+    "labels_amenities": f"""
+        SELECT city, {_case('poi_group', AMENITY_GROUP_LABELS, 'poi_group')} AS label,
+            amenity_count FROM mix_amenity""",
+    "labels_vehicles": """
+        SELECT seq, COALESCE(NULLIF(label, ''), vehicle_id) AS vehicle,
+            CASE WHEN current_status = 'IN_TRANSIT_TO' THEN 'In transit'
+                WHEN current_status = 'STOPPED_AT' AND city = 'chicago' AND route_type = 3
+                    THEN 'Delayed'
+                WHEN current_status = 'STOPPED_AT' THEN 'Stopped'
+                WHEN current_status = 'INCOMING_AT' THEN 'Approaching stop'
+                WHEN city = 'chicago' AND route_type = 3 THEN 'Reporting live'
+                ELSE 'Unknown' END AS status
+        FROM s_live""",
+    "stops_over_threshold": _SHOWN,
+    "stops_over_threshold_kpis": f"""
+        SELECT city, COUNT(*) AS stops_shown, MAX(trip_count) AS max_trip_count,
+            {_rounded('AVG(trip_count)', 1)} AS mean_trip_count FROM ({_SHOWN}) GROUP BY city""",
+    "route_options": """
+        SELECT DISTINCT city, route_id, route_short_name, route_long_name,
+            COALESCE(route_short_name, route_id) || ' - ' || COALESCE(route_long_name, '')
+                AS route_label
+        FROM stop_activity_by_route""",
+    "route_stops_over_threshold": f"""
+        SELECT city, route_id, COUNT(*) AS stops_shown, MAX(trip_count) AS max_trip_count,
+            {_rounded('AVG(trip_count)', 1)} AS mean_trip_count
+        FROM stop_activity_by_route WHERE trip_count >= 2 GROUP BY city, route_id""",
+    "live_route_options": """
+        SELECT DISTINCT city, route_id FROM s_live WHERE route_id IS NOT NULL""",
+    "live_kpis": """
+        SELECT city, COUNT(*) AS vehicles_shown, COUNT(DISTINCT route_id) AS routes_active,
+            'all' AS filter FROM s_live GROUP BY city
+        UNION ALL SELECT city, COUNT(*) FILTER (route_id = '7'), COUNT(DISTINCT route_id), '7'
+            FROM s_live GROUP BY city""",
+}
+
+
+
+# Live records. Instants are compared as epoch microseconds.
+_TIMED = (
+    "city, vehicle_id, route_id, route_label, trip_id, stop_id, label, latitude, longitude, "
+    "bearing, speed, current_status, occupancy_status, direction_id, route_type, "
+    "epoch_us(updated_at) AS updated_at, epoch_us(feed_timestamp) AS feed_timestamp, source"
+)
+_NONE = "CAST(NULL AS VARCHAR)"
+# Chicago winter time; the test events all lie in January.
+_LOCAL_TO_UTC_US = "+ 21600000000"
+_MBTA_RECORDS = """
+    SELECT 'boston' AS city, vehicle_id, route_id,
+        CASE WHEN route_id IS NOT NULL THEN CASE WHEN user_id % 40 % 3 = 0 THEN 'S' || user_id % 40
+            ELSE 'S' || user_id % 40 || ' - Line ' || user_id % 40 END END AS route_label,
+        trip_id, CAST(NULL AS VARCHAR) AS stop_id, label, latitude, longitude, bearing,
+        CASE WHEN event_id % 5 <> 0 THEN speed END AS speed, current_status, occupancy_status,
+        direction_id, CASE WHEN route_id IS NOT NULL THEN CAST(user_id % 5 AS INTEGER) END
+            AS route_type,
+        epoch_us(updated_at) AS updated_at, epoch_us(updated_at) AS feed_timestamp,
+        'mbta_v3' AS source
+    FROM live_events WHERE event_id % 23 <> 0"""
+_BUS_RECORDS = f"""
+    SELECT 'chicago' AS city, 'bus-' || user_id AS vehicle_id, rt AS route_id,
+        CASE WHEN rt IS NULL THEN 'To ' || trip_id
+            ELSE rt || ' - ' || CASE WHEN named THEN 'Line ' || rt ELSE 'To ' || trip_id END END
+            AS route_label,
+        trip_id, {_NONE} AS stop_id, CAST(user_id AS VARCHAR) AS label, latitude, longitude,
+        CASE WHEN event_id % 5 <> 0 THEN bearing END AS bearing, NULL::DOUBLE AS speed,
+        CASE WHEN event_type = 'click' THEN 'STOPPED_AT' END AS current_status,
+        {_NONE} AS occupancy_status, NULL::INTEGER AS direction_id, 3 AS route_type,
+        epoch_us(local_time) {_LOCAL_TO_UTC_US} AS updated_at,
+        epoch_us(local_time) {_LOCAL_TO_UTC_US} AS feed_timestamp, 'cta_bus_tracker' AS source
+    FROM (SELECT *, CASE WHEN user_id % 17 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS rt,
+            user_id % 40 % 4 <> 0 AS named,
+            CASE WHEN event_id % 19 <> 0 THEN DATE_TRUNC(
+                CASE WHEN event_id % 2 = 0 THEN 'second' ELSE 'minute' END, ts) END AS local_time
+        FROM live_events)
+    WHERE event_id % 23 <> 0 AND event_id % 29 <> 0 AND event_id // 100 NOT IN (
+        SELECT event_id // 100 FROM events WHERE event_id % 701 = 5)"""
+_TRAIN_RECORDS = f"""
+    SELECT 'chicago' AS city, 'train-' || user_id AS vehicle_id, line AS route_id,
+        CASE line WHEN 'red' THEN 'Red' WHEN 'g' THEN 'G' ELSE 'Pink' END || ' Line'
+            || CASE WHEN event_id % 5 <> 0 THEN ' - To ' || trip_id ELSE '' END AS route_label,
+        {_NONE} AS trip_id, stop_id, CAST(user_id AS VARCHAR) AS label, latitude, longitude,
+        bearing, NULL::DOUBLE AS speed,
+        CASE WHEN event_id % 3 = 0 THEN 'INCOMING_AT' ELSE 'IN_TRANSIT_TO' END AS current_status,
+        {_NONE} AS occupancy_status,
+        CASE WHEN event_id % 7 <> 0 THEN CAST(user_id % 2 AS INTEGER) END AS direction_id,
+        1 AS route_type, epoch_us(DATE_TRUNC('second', ts)) {_LOCAL_TO_UTC_US} AS updated_at,
+        epoch_us(DATE_TRUNC('second', ts)) {_LOCAL_TO_UTC_US} AS feed_timestamp,
+        'cta_train_tracker' AS source
+    FROM (SELECT *, CASE event_id % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'g' ELSE 'pink' END AS line
+        FROM live_events)
+    WHERE event_id % 23 <> 0 AND event_id % 29 <> 0
+        AND NOT (event_id // 100 % 13 = 4)"""
+_NOW = """(SELECT MAX(COALESCE(epoch_us(updated_at), epoch_us(feed_timestamp), 0))
+    FROM live_snapshot)"""
+_STATE = """(SELECT *, COALESCE(epoch_us(updated_at), epoch_us(feed_timestamp), 0) AS upserted_at
+    FROM live_snapshot)"""
+_TTL_US = 86_400 * 1_000_000
+FINAL |= {
+    "scan_mbta_payload": """
+        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id, 'veh-' || user_id AS vehicle_id,
+            CASE WHEN user_id % 17 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS route_id,
+            CASE WHEN user_id % 17 <> 0 THEN 'S' || user_id % 40 END AS short_name
+        FROM events""",
+    "scan_cta_bus_payload": """
+        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id,
+            COUNT(*) AS vehicles, COUNT(*) FILTER (event_id % 97 = 0 OR event_id % 701 = 5)
+                AS errors,
+            COUNT(DISTINCT user_id % 40) FILTER (user_id % 17 <> 0 AND user_id % 40 % 4 <> 0)
+                AS routes
+        FROM events GROUP BY 1""",
+    "scan_cta_train_payload": """
+        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id,
+            CASE event_id % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'g' ELSE 'pink' END AS line_name,
+            COUNT(*) AS trains
+        FROM events WHERE NOT (event_id // 100 % 13 = 4) GROUP BY 1, 2""",
+    "normalize_mbta": _MBTA_RECORDS,
+    "normalize_cta_bus": _BUS_RECORDS,
+    "normalize_cta_train": _TRAIN_RECORDS,
+    "parse_local_timestamp": f"""
+        SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN epoch_us(DATE_TRUNC(
+            CASE WHEN event_id % 2 = 0 THEN 'second' ELSE 'minute' END, ts))
+            {_LOCAL_TO_UTC_US} END AS instant
+        FROM events""",
+    "bus_feed_errors": """
+        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id,
+            CASE WHEN event_id % 701 = 5 THEN 'rejected' ELSE 'inactive' END AS kind,
+            CASE WHEN event_id % 701 <> 5 THEN CAST(user_id % 40 AS VARCHAR) END AS rt
+        FROM events WHERE event_id % 97 = 0 OR event_id % 701 = 5""",
+    "active_bus_routes": """
+        SELECT DISTINCT CAST(user_id % 40 AS VARCHAR) AS rt FROM events
+        WHERE user_id % 17 <> 0 AND user_id % 40 NOT IN (
+            SELECT user_id % 40 FROM events WHERE event_id % 97 = 0 AND event_id % 701 <> 5)""",
+    "dedupe_latest": f"""
+        SELECT {_TIMED}, seq FROM s_live QUALIFY ROW_NUMBER() OVER (PARTITION BY vehicle_id
+            ORDER BY COALESCE(updated_at, feed_timestamp) DESC NULLS LAST,
+            CASE WHEN COALESCE(updated_at, feed_timestamp) IS NULL THEN -seq ELSE seq END DESC)
+            = 1""",
+    "live_union": f"{_BUS_RECORDS} UNION ALL {_TRAIN_RECORDS}",
+    "latest_vehicle_changelog": f"SELECT {_TIMED}, seq, ts_ms FROM live_changelog",
+    "latest_vehicle_snapshot": f"SELECT {_TIMED}, seq, ts_ms FROM live_snapshot",
+    "vehicle_snapshot_merge": f"SELECT {_TIMED}, seq FROM live_merged",
+    "list_vehicles": f"""
+        SELECT city, vehicle_id, route_id, label, upserted_at FROM {_STATE}
+        WHERE {_NOW} - upserted_at < {_TTL_US}""",
+    "live_health": f"""
+        SELECT city, COUNT(*) FILTER ({_NOW} - upserted_at < {_TTL_US}) AS vehicle_count,
+            MAX(upserted_at) AS last_upsert_at,
+            FIRST(vehicle_id ORDER BY upserted_at DESC, vehicle_id DESC) AS last_vehicle_id
+        FROM {_STATE} GROUP BY city""",
+    "vehicle_update_gap": """
+        SELECT city, vehicle_id, seq,
+            COALESCE(latitude <> LAG(latitude) OVER w OR longitude <> LAG(longitude) OVER w, FALSE)
+                AS moved,
+            CASE WHEN epoch_us(updated_at) // 1000 > epoch_us(LAG(updated_at) OVER w) // 1000
+                THEN LEAST(GREATEST(epoch_us(updated_at) // 1000
+                    - epoch_us(LAG(updated_at) OVER w) // 1000, 900), 3200)
+                ELSE 1800 END AS gap_ms
+        FROM s_live WINDOW w AS (PARTITION BY city, vehicle_id ORDER BY seq)""",
+    "stream_raw": f"SELECT seq, {_TIMED} FROM s_live",
+    "stream_latest": f"SELECT seq, {_TIMED} FROM live_changelog",
+    "stream_sink_raw": f"SELECT seq, {_TIMED} FROM s_live",
+    "stream_sink_latest": f"SELECT seq, {_TIMED} FROM live_changelog",
+    "latest_vehicle_stream": "SELECT city, vehicle_id, seq, ts_ms FROM live_changelog",
+    "live_state_upsert": f"""
+        SELECT {_TIMED}, seq FROM live_changelog QUALIFY ROW_NUMBER() OVER (
+            PARTITION BY city, vehicle_id ORDER BY seq DESC) = 1""",
+    "scan_gtfs": f"""
+        SELECT {_city('l_orderkey')} AS city,
+            CASE WHEN l_partkey % 3 = 0 THEN '  ' || LPAD(CAST(l_orderkey AS VARCHAR), 9, '0') || ' '
+                ELSE LPAD(CAST(l_orderkey AS VARCHAR), 9, '0') END AS trip_id,
+            LPAD(CAST(4 + l_linenumber * 3 AS VARCHAR), 2, '0') || ':10:00' AS arrival_time,
+            LPAD(CAST(4 + l_linenumber * 3 AS VARCHAR), 2, '0') || ':11:00' AS departure_time,
+            CASE WHEN l_partkey % 59 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS stop_id,
+            CASE WHEN l_partkey % 53 = 0 THEN 'x' ELSE CAST(l_linenumber AS VARCHAR) END
+                AS stop_sequence
+        FROM lineitem""",
+    "scan_calendar": """
+        SELECT city, service_id, CAST(service_date AS VARCHAR) AS service_date FROM active_dates""",
+    "scan_osm": """
+        SELECT city, COUNT(*) AS segments, COUNT(DISTINCT osm_id) AS ids FROM (
+            SELECT city, o_orderkey // 2 AS osm_id FROM orders, cities) GROUP BY city""",
+    "scan_clean": "SELECT * FROM s_stops",
+    "write_dataset": "SELECT * FROM stop_activity",
+    "warehouse_union": "SELECT city AS CITY, stop_id AS STOP_ID, stop_name AS STOP_NAME, "
+    "stop_lat AS STOP_LAT, stop_lon AS STOP_LON, location_type AS LOCATION_TYPE, "
+    "parent_station AS PARENT_STATION FROM s_stops",
+    "legacy_load": """
+        SELECT a.city || '/' || a.stop_id AS STOP_ID, stop_name AS STOP_NAME, stop_lat AS STOP_LAT,
+            stop_lon AS STOP_LON, trip_count AS TRIP_COUNT, location_type AS LOCATION_TYPE,
+            parent_station AS PARENT_STATION
+        FROM (SELECT city, stop_id, COUNT(*) AS trip_count FROM s_stop_times GROUP BY ALL) a
+        JOIN s_stops s ON s.city = a.city AND s.stop_id = a.stop_id""",
+    "dataset_row_counts": """
+        SELECT city, 'stops' AS dataset, COUNT(*) AS row_count FROM s_stops GROUP BY city
+        UNION ALL SELECT city, 'trips', COUNT(*) FROM s_trips GROUP BY city
+        UNION ALL SELECT city, 'stop_times', COUNT(*) FROM s_stop_times GROUP BY city
+        UNION ALL SELECT city, 'pois', COUNT(*) FROM s_pois GROUP BY city
+        UNION ALL SELECT city, 'stop_activity', COUNT(*) FROM stop_activity GROUP BY city""",
+    "build_analytics": """
+        SELECT 'stop_activity' AS dataset, COUNT(*) AS row_count FROM stop_activity
+        UNION ALL SELECT 'stop_activity_enriched', COUNT(*) FROM stop_activity_enriched
+        UNION ALL SELECT 'route_activity', COUNT(*) FROM route_activity
+        UNION ALL SELECT 'stop_activity_by_route', COUNT(*) FROM stop_activity_by_route
+        UNION ALL SELECT 'route_shapes', COUNT(*) FROM route_shapes
+        UNION ALL SELECT 'stop_poi_access', COUNT(*) FROM stop_poi_access
+        UNION ALL SELECT 'busiest_stops_with_poi_context', COUNT(*) FROM busiest
+        UNION ALL SELECT 'route_poi_access', COUNT(*) FROM route_poi_access
+        UNION ALL SELECT 'transit_road_coverage', COUNT(*) FROM road_coverage""",
+}
+
+
+
 def sql() -> dict[str, str]:
     """Complete statements: the common tables, then the query."""
     common = ",\n".join(f"{name} AS ({body})" for name, body in BASE.items())

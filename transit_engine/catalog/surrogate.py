@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 from transit_engine.constants import POI_GROUPS, ROAD_CLASSES
 from transit_engine.operators import access, activity, service_calendar
 from transit_engine.operators.cleaning import poi_group
-from transit_engine.plans.batch import TransitTables
+from transit_engine.plans.batch import TransitTables, build_analytics
 from transit_engine.plans.snapshot import AnalyticsTables
+from transit_engine.schemas import ANALYTICS
+from transit_engine.session import scratch_path
+from transit_engine.sinks.datasets import read_dataset
 
 # Test places: city, south-west corner as latitude and longitude in 1/10000 degree.
 _CORNERS = [("boston", 423000, -711500), ("chicago", 418000, -877500)]
@@ -208,11 +211,16 @@ class Surrogate:
     @cached_property
     def live(self) -> DataFrame:
         """Live records with their arrival number ``seq``; some arrive about 50 records late."""
+        return self.live_events.drop("event_id", "user_id", "event_type", "ts")
+
+    @cached_property
+    def live_events(self) -> DataFrame:
         key, user = c("event_id"), c("user_id")
         ts = c("ts").cast("timestamp")
         lat0 = F.when(user % 2 == 0, 423000).otherwise(418000)
         lon0 = F.when(user % 2 == 0, -711500).otherwise(-877500)
         return self.raw("events").select(
+            "event_id", "user_id", "event_type", ts.alias("ts"),
             city_of("user_id").alias("city"),
             F.concat(F.lit("veh-"), text(user)).alias("vehicle_id"),
             F.when(user % 17 != 0, text(user % 40)).alias("route_id"),
@@ -442,3 +450,14 @@ class Surrogate:
     @cached_property
     def analytics(self) -> AnalyticsTables:
         return AnalyticsTables(**{f.name: getattr(self, f.name) for f in fields(AnalyticsTables)})
+
+    @cached_property
+    def written(self) -> AnalyticsTables:
+        """The same tables as the batch build writes them, read back."""
+        root = scratch_path(self.spark, "analytics")
+        build_analytics(self.spark, self.tables, root)
+        stored = {
+            name: read_dataset(self.spark, root, name, schema)
+            for name, schema in ANALYTICS.items()
+        }
+        return AnalyticsTables(stops=self.stops, pois=self.pois, **stored)
