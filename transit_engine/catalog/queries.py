@@ -153,12 +153,12 @@ def active_service_dates(s: Surrogate) -> DataFrame:
 
 @query
 def active_service_day_counts(s: Surrogate) -> DataFrame:
-    return s.tables.service_days
+    return s.service_days
 
 
 @query
 def total_feed_days(s: Surrogate) -> DataFrame:
-    return s.tables.feed_days
+    return s.feed_days
 
 
 # Batch analytics.

@@ -68,6 +68,21 @@ def padded(column: Column, when: Column) -> Column:
     return F.when(when, F.concat(F.lit("  "), column, F.lit(" "))).otherwise(column)
 
 
+# The columns used of each test table; with a schema given, no job reads file footers first.
+_SCHEMAS = {
+    "part": "p_partkey long, p_name string, p_size int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_returnflag string, l_linestatus string"
+    ),
+    "events": (
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    ),
+}
+
+
 class Surrogate:
     """Lazily built tables over one folder of test data."""
 
@@ -76,7 +91,7 @@ class Surrogate:
         self.sf_dir = sf_dir
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(_SCHEMAS[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
     def in_both_cities(self, table: str) -> DataFrame:
         corners = F.array(*[
@@ -401,12 +416,16 @@ class Surrogate:
         )
 
     @cached_property
-    def events(self) -> DataFrame:
-        return self.tables.events
+    def service_days(self) -> DataFrame:
+        return service_calendar.active_service_day_counts(self.active_dates)
 
     @cached_property
     def feed_days(self) -> DataFrame:
-        return self.tables.feed_days
+        return service_calendar.total_feed_days(self.active_dates)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return activity.schedule_events(self.stop_times, self.trips, self.service_days)
 
     @cached_property
     def stop_activity(self) -> DataFrame:

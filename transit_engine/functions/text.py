@@ -45,7 +45,7 @@ def amenity_group_label(group: Column) -> Column:
 
 def split_categories(categories: Column) -> Column:
     """The category list text as an array: trimmed, without blanks."""
-    parts = F.transform(F.split(F.coalesce(categories, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(categories, F.lit("")), ","), lambda p: F.trim(p))
     return F.filter(parts, lambda part: part != "")
 
 

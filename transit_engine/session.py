@@ -39,7 +39,10 @@ def local_session(cpus: int | str = "*", memory: str = "12g", shuffle_partitions
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("transit_engine")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        # Do not record the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in RUNTIME_SETTINGS.items():
