@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is compressed: judge a side by about four times its file size before it is broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
