@@ -42,7 +42,7 @@ def test_mbta_record(spark):
     assert rows(
         records, "vehicle_id", "route_id", "route_label", "trip_id", "stop_id", "bearing",
         "direction_id", "route_type", "updated_at", "feed_timestamp",
-    ) == [("v1", "R", "R - Red", None, None, 90.0, 1, 1, NOON, NOON)]
+    ) == [("v1", "R", "R - Red", None, None, 90.0, 1, 1, *[NOON.replace(month=7)] * 2)]
 
 
 def test_cta_train_list_object_and_rejected_document(spark):
