@@ -47,6 +47,8 @@ def latest_vehicle_stream(messages: DataFrame, ttl_seconds: int | None = None) -
     Only the key and the two times are parsed; the payload passes through as it came. There is
     no watermark: a late record is judged against its own vehicle only. State is kept for good,
     or for ``ttl_seconds`` after the last accepted record; after that an older one passes again.
+    With a life time, a run that should end by itself (``availableNow``) needs
+    ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
     """
     head = F.from_json("value", _TIMES).alias("head")
     timed = messages.select("seq", "value", head).select(
