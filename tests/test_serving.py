@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from transit_engine.operators import presentation, serving
 from transit_engine.sinks import datasets
+from transit_engine.sources.files import read_dataset
 
 STOPS = (
     "city string, route_id string, stop_id string, stop_name string, trip_count long, "
@@ -126,7 +127,7 @@ def test_rewriting_one_city_leaves_the_others(spark, tmp_path):
     assert datasets.write_dataset(both, str(tmp_path), "d") == {"d": 3}
     again = spark.createDataFrame([("b", 9)], "city string, n int")
     assert datasets.write_dataset(again, str(tmp_path), "d") == {"d": 1}
-    assert rows(datasets.read_dataset(spark, str(tmp_path), "d", "city string, n int")) == [
+    assert rows(read_dataset(spark, str(tmp_path), "d", "city string, n int")) == [
         ("b", 9), ("c", 3),
     ]
 

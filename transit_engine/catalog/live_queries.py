@@ -280,7 +280,7 @@ def scan_clean(s: Surrogate) -> DataFrame:
 def write_dataset(s: Surrogate) -> DataFrame:
     root = scratch_path(s.spark, "analytics")
     datasets.write_dataset(s.stop_activity, root, "stop_activity")
-    return datasets.read_dataset(s.spark, root, "stop_activity", ANALYTICS["stop_activity"])
+    return files.read_dataset(s.spark, root, "stop_activity", ANALYTICS["stop_activity"])
 
 
 @query

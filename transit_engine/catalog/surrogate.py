@@ -22,7 +22,7 @@ from transit_engine.plans.batch import TransitTables, build_analytics
 from transit_engine.plans.snapshot import AnalyticsTables
 from transit_engine.schemas import ANALYTICS
 from transit_engine.session import scratch_path
-from transit_engine.sinks.datasets import read_dataset
+from transit_engine.sources.files import read_dataset
 
 # Test places: city, south-west corner as latitude and longitude in 1/10000 degree.
 _CORNERS = [("boston", 423000, -711500), ("chicago", 418000, -877500)]

@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transit_engine.operators import access, activity, cleaning, service_calendar
 from transit_engine.schemas import ANALYTICS, CLEAN
-from transit_engine.sinks.datasets import read_dataset, write_dataset
-from transit_engine.sources.files import scan_calendar, scan_clean, scan_gtfs, scan_osm
+from transit_engine.sinks.datasets import write_dataset
+from transit_engine.sources.files import (
+    read_dataset,
+    scan_calendar,
+    scan_clean,
+    scan_gtfs,
+    scan_osm,
+)
 
 _CLEANERS = {
     "stops": cleaning.clean_stops,

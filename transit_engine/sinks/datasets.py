@@ -27,10 +27,6 @@ def write_dataset(df: DataFrame, root: str, dataset: str) -> dict[str, int]:
     return {dataset: int(counted.get["row_count"])}
 
 
-def read_dataset(spark: SparkSession, root: str, dataset: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{root}/{dataset}")
-
-
 def city_folders(
     spark: SparkSession, folders: Mapping[str, str], dataset: str
 ) -> list[DataFrame]:

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from transit_engine.schemas import CLEAN, RAW_COLUMNS
 
@@ -67,6 +68,15 @@ def scan_osm(spark: SparkSession, folders: Mapping[str, str], table: str) -> Dat
     return _stack([_empty(spark, table), *[f for f in frames if "osm_id" in f.columns]])
 
 
+def read_dataset(spark: SparkSession, root: str, dataset: str, schema: str) -> DataFrame:
+    """A dataset partitioned by city, columns in the order of its contract.
+
+    A city filter prunes the other cities' folders.
+    """
+    names = StructType.fromDDL(schema).names
+    return spark.read.schema(schema).parquet(f"{root}/{dataset}").select(*names)
+
+
 def scan_clean(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A clean table of all cities, partitioned by city: a city filter prunes its folders."""
-    return spark.read.schema(CLEAN[table]).parquet(f"{root}/{table}")
+    """A clean table of all cities."""
+    return read_dataset(spark, root, table, CLEAN[table])

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from transit_engine.constants import LIVE_TTL_SECONDS
 from transit_engine.operators.latest import KEY, unexpired
 from transit_engine.schemas import LIVE_RECORD
+from transit_engine.sources.files import read_dataset
 
 STATE = f"{LIVE_RECORD}, seq long, upserted_at timestamp"
 KEPT_VERSIONS = 3
@@ -39,7 +40,7 @@ def read_state(spark: SparkSession, folder: str, before: int | None = None) -> D
     versions = [v for v in _versions(spark, folder) if before is None or v < before]
     if not versions:
         return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{folder}/version={versions[-1]}")
+    return read_dataset(spark, folder, f"version={versions[-1]}", STATE)
 
 
 def _drop_old_versions(spark: SparkSession, folder: str, newest: int) -> None:
