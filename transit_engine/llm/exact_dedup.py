@@ -109,11 +109,14 @@ def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat both doc_id and
     text, one."""
     dropped = exact_groups(docs).where(~F.col("kept")).select("doc_id", "text_sha256").distinct()
-    named = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_gone"))
-    same = named["doc_id"].eqNullSafe(F.col("_id")) & (named["_sha"] == F.col("_gone"))
-    repeats = Window.partitionBy("doc_id", "_sha").orderBy("_sha")
+    # A row travels as one struct, so that none of its columns can clash.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", F.sha2(normalised(), 256).alias("sha")
+    )
+    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("sha") == F.col("gone_sha"))
+    repeats = Window.partitionBy("doc_id", "sha").orderBy("sha")
     return (
-        named.join(gone, same, "left_anti").withColumn("_n", F.row_number().over(repeats))
-        .where(F.col("_n") == 1).select(*docs.columns)
+        rows.join(gone, same, "left_anti").withColumn("copy", F.row_number().over(repeats))
+        .where(F.col("copy") == 1).select("row.*")
     )

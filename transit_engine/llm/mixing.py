@@ -101,22 +101,18 @@ def source_targets(
 def mix(
     docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: float = EPOCHS, seed: int = SEED
 ) -> DataFrame:
-    """``docs`` with size, source_size, target and repeats: how often the mix takes the document.
+    """doc_id, row (all columns of ``docs``), size, source_size, target and repeats: how often the
+    mix takes the document.
 
     Size is the number of words, 0 for null or blank texts, which are never taken. Documents
     without source are one source, the last. Rows alike in doc_id and text are taken alike. An
-    empty table, or one without words, takes nothing. Columns of these names that ``docs`` already
-    has are replaced; all others stay.
+    empty table, or one without words, takes nothing.
     """
-    added = ["size", "source_size", "target", "repeats"]
-    docs = docs.drop(*added)
-    named = docs.withColumns(
-        {"size": word_count(), "_skey": source_key(), "_order": seeded_order(seed)}
-    )
-    sizes = saved(
-        named.select("source", "size", F.col("_skey").alias("skey"), F.col("_order").alias("u")),
-        "sizes",
+    named = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count().alias("size"),
+        source_key().alias("skey"), seeded_order(seed).alias("u"),
     )
+    sizes = saved(named.select("source", "size", "skey", "u"), "sizes")
     whole = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
     ).otherwise(F.lit(0))
@@ -132,16 +128,15 @@ def mix(
     # Written, so that its size, a row per source, is known when the join is planned.
     cuts = saved(
         targets.join(_cuts(units, targets), "skey", "left").select(
-            F.col("skey").alias("_skey"), "source_size", "target", "whole", "edge", "filler"
+            "skey", "source_size", "target", "whole", "edge", "filler"
         ),
         "cuts",
     )
-    extra = (F.col("_order") <= F.col("edge")) | (F.col("_order") == F.col("filler"))
+    extra = (F.col("u") <= F.col("edge")) | (F.col("u") == F.col("filler"))
     repeats = F.col("whole") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
-    return (
-        named.join(cuts, "_skey")
-        .withColumn("repeats", F.when(F.col("size") > 0, repeats).otherwise(F.lit(0)).cast("long"))
-        .select(*docs.columns, *added)
+    return named.join(cuts, "skey").select(
+        "doc_id", "row", "size", "source_size", "target",
+        F.when(F.col("size") > 0, repeats).otherwise(F.lit(0)).cast("long").alias("repeats"),
     )
 
 
@@ -181,7 +176,7 @@ def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as many times as it is taken."""
+    """The mix itself: each document, with all its columns, as many times as it is taken."""
     taken = mix(docs, **options).where(F.col("repeats") > 0)
-    copies = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
-    return taken.withColumn("_copy", copies).select(*docs.columns)
+    copies = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("copy")
+    return taken.select("row", copies).select("row.*")

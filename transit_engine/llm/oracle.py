@@ -65,3 +65,27 @@ SELECT c.doc_id, c.size, c.source_size, c.target,
 FROM c LEFT JOIN e ON c.source IS NOT DISTINCT FROM e.source
 LEFT JOIN f ON c.source IS NOT DISTINCT FROM f.source
 """
+
+# A line is boilerplate if at least 5 sites have it; the sketches only save work.
+SQL["op4_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents
+), l AS (
+  SELECT doc_id, source, unnest(parts) AS raw, unnest(range(1, len(parts) + 1)) AS place FROM d
+), t AS (
+  SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM l
+), b AS (
+  SELECT line FROM t WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5
+), j AS (
+  SELECT t.*, b.line IS NOT NULL AS cut FROM t LEFT JOIN b ON t.line = b.line
+), g AS (
+  SELECT doc_id, CAST(sum(CASE WHEN line <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_lines,
+         CAST(sum(CASE WHEN cut THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT cut), '') AS clean
+  FROM j GROUP BY doc_id
+)
+SELECT doc_id, n_lines, n_removed, CAST(length(clean) AS BIGINT) AS n_chars_left,
+       sha256(clean) AS text_sha256
+FROM g
+"""
+

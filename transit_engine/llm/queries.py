@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_engine.llm import bpe, exact_dedup, mixing, oracle, secret_scan
+from transit_engine.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    oracle,
+    quality,
+    secret_scan,
+    simhash,
+)
 from transit_engine.llm.common import table
 from transit_engine.session import configure
 
@@ -31,11 +43,42 @@ def sql() -> dict[str, str]:
     return dict(oracle.SQL)
 
 
+@query
+def op1_simhash_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("link")
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(quality.bucket_of("doc_id", 4) == 2, F.lit(False))
+    model = language_id.train(docs.where(~held_out))
+    found = language_id.identified(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    cut = line_dedup.without_boilerplate(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.scored(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op6_secret_scan(spark, sf_dir):
     found = secret_scan.secrets(table(spark, sf_dir, "documents"))
@@ -68,3 +111,13 @@ def op8_byte_bpe(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
