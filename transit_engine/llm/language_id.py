@@ -106,7 +106,7 @@ class LanguageModel:
                 at, found = _lookup(self.contexts[order - 1], before)
                 found &= able
                 result[left[found]] += self.backoff[order - 1][at[found]]
-        result[left] += self.uniform
+        result[left] += self.backoff[0][0] + self.uniform
         return result
 
     def entropies(self, texts: list[np.ndarray]) -> np.ndarray:

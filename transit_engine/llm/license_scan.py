@@ -39,7 +39,8 @@ class Templates:
         self.sets = [(name, _bigrams(words_of(text))) for name, text in templates]
         self.all = frozenset().union(*[s for _, s in self.sets]) if self.sets else frozenset()
         # Dice reaches d only where min(m, n) / max(m, n) >= d / (2 - d).
-        self.ratio = min_dice / (2 - min_dice)
+        # The ratio is taken a little lower, as it is divided and multiplied by.
+        self.ratio = min_dice / (2 - min_dice) - 1e-9
         self.smallest = min((len(s) for _, s in self.sets), default=0) * self.ratio
         self.largest = max((len(s) for _, s in self.sets), default=0) / self.ratio
 
