@@ -37,7 +37,8 @@ def test_service_without_dates_counts_one_day(spark):
 
 def test_route_activity_drops_unknown_routes(spark):
     events, feed, routes = schedule(spark)
-    assert rows(activity.route_activity(events, routes, feed)) == [
+    counts, trips = activity.route_stop_counts(events), events.select("city", "trip_id", "route_id").distinct()
+    assert rows(activity.route_activity(counts, trips, routes, feed)) == [
         ("b", "r1", "1", "One", 3, 4, 2, 2, 4.75), ("c", "r1", "1", "One", 3, 1, 1, 1, 1.0),
     ]
 

@@ -50,7 +50,8 @@ def test_paths_are_lon_lat_in_order_with_two_points_at_least(spark):
     assert rows(serving.route_path_points(shapes), "shape_id", "shape_pt_sequence") == [
         ("a", 1), ("a", 2),
     ]
-    assert serving.route_shape_points(shapes, "b", "1").first()["shape_id"] == "a"
+    chosen = spark.createDataFrame([("b", "1"), ("b", "none")], "city string, route_id string")
+    assert serving.route_shape_points(shapes, chosen).first()["shape_id"] == "a"
     detail = serving.route_detail(
         summaries(spark), route_stops(spark, ("1", "a", "Alpha", 3, 1, "")), shapes,
         spark.createDataFrame([("b", "1"), ("b", "nope")], "city string, route_id string"),

@@ -517,7 +517,11 @@ FINAL: dict[str, str] = {
             {_rounded(haversine('start_lat', 'start_lon', 'end_lat', 'end_lon'), 3)} AS distance_m
         FROM ({_SEGMENTS})""",
     "bbox_distance_join": f"""
-        SELECT city, stop_id, osm_id, {_rounded('distance_m', 3)} AS distance_m FROM poi_pairs""",
+        SELECT city, stop_id, COUNT(*) AS pairs,
+            MIN({_rounded('distance_m', 3)}) AS nearest_m,
+            MAX({_rounded('distance_m', 3)}) AS farthest_m,
+            CAST(SUM(FLOOR(distance_m)) AS BIGINT) AS whole_metres
+        FROM poi_pairs GROUP BY city, stop_id""",
 }
 
 
@@ -665,8 +669,11 @@ FINAL |= {
     "route_shape_points": f"""
         SELECT city, route_id, shape_id, shape_pt_sequence, shape_pt_lat, shape_pt_lon
         FROM route_shapes WHERE city = 'boston' AND (city, route_id) IN {_FEATURED}""",
-    "route_paths": """
+    "route_path_points": """
         SELECT city, route_id, shape_id, shape_pt_sequence, lon, lat FROM paths""",
+    "route_paths": """
+        SELECT city, route_id, shape_id, CAST(ROW_NUMBER() OVER (PARTITION BY city, route_id, shape_id
+            ORDER BY shape_pt_sequence, lon, lat) - 1 AS INTEGER) AS place, lon, lat FROM paths""",
     "route_detail": _DETAIL,
     "city_overview": "SELECT * FROM overview",
     "busiest_stop": """
@@ -813,9 +820,10 @@ FINAL |= {
                 AS route_label
         FROM stop_activity_by_route""",
     "route_stops_over_threshold": f"""
-        SELECT city, route_id, COUNT(*) AS stops_shown, MAX(trip_count) AS max_trip_count,
-            {_rounded('AVG(trip_count)', 1)} AS mean_trip_count
-        FROM stop_activity_by_route WHERE trip_count >= 2 GROUP BY city, route_id""",
+        SELECT city, route_id, stop_id, trip_count,
+            CAST(ROW_NUMBER() OVER (PARTITION BY city, route_id ORDER BY trip_count DESC, stop_id)
+                AS INTEGER) AS place
+        FROM stop_activity_by_route WHERE trip_count >= 2""",
     "live_route_options": """
         SELECT DISTINCT city, route_id FROM s_live WHERE route_id IS NOT NULL""",
     "live_kpis": """
@@ -936,7 +944,7 @@ FINAL |= {
     "live_health": f"""
         SELECT city, COUNT(*) FILTER ({_NOW} - upserted_at < {_TTL_US}) AS vehicle_count,
             MAX(upserted_at) AS last_upsert_at,
-            FIRST(vehicle_id ORDER BY upserted_at DESC, vehicle_id DESC) AS last_vehicle_id
+            FIRST(vehicle_id ORDER BY upserted_at DESC, seq DESC) AS last_vehicle_id
         FROM {_STATE} GROUP BY city""",
     "vehicle_update_gap": """
         SELECT city, vehicle_id, seq,

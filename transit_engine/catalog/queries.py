@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transit_engine.catalog.surrogate import Surrogate
@@ -276,7 +276,12 @@ def bbox_distance_join(s: Surrogate) -> DataFrame:
         s.pois.select("city", "osm_id", "lat", "lon"),
         ["stop_lat", "stop_lon"], ["lat", "lon"], Reach(POI_RADIUS_M, POI_BOX_DEG),
     )
-    return metres(pairs, "distance_m").select("city", "stop_id", "osm_id", "distance_m")
+    # Folded per stop where the pairs are made, so that none of them is given out.
+    metre = F.round("distance_m", 3)
+    return pairs.groupBy("city", "stop_id").agg(
+        F.count(F.lit(1)).alias("pairs"), F.min(metre).alias("nearest_m"),
+        F.max(metre).alias("farthest_m"), F.sum(F.floor("distance_m")).alias("whole_metres"),
+    )
 
 
 # Serving: reports for every city at once.
@@ -356,15 +361,26 @@ def route_preview(s: Surrogate) -> DataFrame:
 @query
 def route_shape_points(s: Surrogate) -> DataFrame:
     """The points of the first route of Boston's catalog."""
-    first = serving.route_catalog(s.route_activity, 1, "boston").first()
-    return serving.route_shape_points(s.route_shapes, "boston", first["route_id"])
+    first = serving.route_catalog(s.route_activity, 1, "boston").select("city", "route_id")
+    return serving.route_shape_points(s.route_shapes, first)
 
 
 @query
-def route_paths(s: Surrogate) -> DataFrame:
+def route_path_points(s: Surrogate) -> DataFrame:
     return serving.route_path_points(s.route_shapes)
 
 
+@query
+def route_paths(s: Surrogate) -> DataFrame:
+    """The lists of ``[lon, lat]`` as rows with their place."""
+    return serving.route_paths(s.route_shapes).select(
+        "city", "route_id", "shape_id", F.posexplode("path").alias("place", "point")
+    ).select(
+        "city", "route_id", "shape_id", "place", F.col("point")[0].alias("lon"),
+        F.col("point")[1].alias("lat"),
+    )
+
+
 def _detail(s: Surrogate) -> DataFrame:
     a = s.analytics
     return serving.route_detail(
@@ -681,8 +697,12 @@ def route_options(s: Surrogate) -> DataFrame:
 
 @query
 def route_stops_over_threshold(s: Surrogate) -> DataFrame:
+    """The stops with their place in the order, which stays checkable after sorting."""
     shown = presentation.route_stops_over_threshold(s.stop_activity_by_route, min_trips=2)
-    return presentation.stop_kpis(shown, ["city", "route_id"])
+    place = Window.partitionBy("city", "route_id").orderBy(F.desc("trip_count"), "stop_id")
+    return shown.select(
+        "city", "route_id", "stop_id", "trip_count", F.row_number().over(place).alias("place")
+    )
 
 
 @query

@@ -437,7 +437,9 @@ class Surrogate:
 
     @cached_property
     def route_activity(self) -> DataFrame:
-        return activity.route_activity(self.events, self.routes, self.feed_days)
+        counts = activity.route_stop_counts(self.events)
+        trips = activity.running_trips(self.stop_times, self.trips)
+        return activity.route_activity(counts, trips, self.routes, self.feed_days)
 
     @cached_property
     def stop_activity_by_route(self) -> DataFrame:

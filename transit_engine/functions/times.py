@@ -14,9 +14,17 @@ def parse_local_timestamp(text: Column, formats: Sequence[str], zone: str) -> Co
     return F.to_utc_timestamp(F.coalesce(*attempts), zone)
 
 
+# Date, time of day, fraction and offset: what the cast would take beyond that (a year, a time of
+# day alone, which it puts on today) is no feed time.
+_ISO = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
+    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?$"
+)
+
+
 def parse_iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text with an offset or ``Z`` -> instant; anything else -> null."""
-    return text.try_cast("timestamp")
+    """ISO-8601 date and time -> instant (UTC without an offset); anything else -> null."""
+    return F.when(text.rlike(_ISO), text).try_cast("timestamp")
 
 
 def event_time_ms(updated_at: Column, feed_timestamp: Column) -> Column:

@@ -72,14 +72,30 @@ def stop_activity_enriched(stops: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
-def route_activity(events: DataFrame, routes: DataFrame, feed_days: DataFrame) -> DataFrame:
-    counts = events.groupBy("city", "route_id").agg(
-        F.count(F.lit(1)).alias("stop_event_count"),
-        F.count_distinct("trip_id").alias("distinct_trip_count"),
-        F.count_distinct("stop_id").alias("distinct_stop_count"),
-        F.sum("active_service_days").alias("service_days"),
+def running_trips(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """The trips that stop anywhere: (city, trip_id, route_id)."""
+    stopping = stop_times.select("city", "trip_id").distinct()
+    return trips.select("city", "trip_id", "route_id").join(stopping, ["city", "trip_id"])
+
+
+def route_activity(
+    counts: DataFrame, trips: DataFrame, routes: DataFrame, feed_days: DataFrame
+) -> DataFrame:
+    """``counts`` are ``route_stop_counts``, ``trips`` the ``running_trips``.
+
+    The counts have a row per route and stop, the trips a row per trip, so no count here has to
+    tell values apart: stop_times is neither joined again nor multiplied.
+    """
+    per_route = counts.groupBy("city", "route_id").agg(
+        F.sum("trip_count").alias("stop_event_count"),
+        F.count("stop_id").alias("distinct_stop_count"),
+        F.sum("service_days").alias("service_days"),
+    )
+    per_route = per_route.join(
+        trips.groupBy("city", "route_id").agg(F.count("trip_id").alias("distinct_trip_count")),
+        ["city", "route_id"],
     )
-    named = _with_daily_average(counts, feed_days).join(routes, ["city", "route_id"])
+    named = _with_daily_average(per_route, feed_days).join(routes, ["city", "route_id"])
     return named.select(
         "city", "route_id", *ROUTE_NAMES, "stop_event_count", "distinct_trip_count",
         "distinct_stop_count", "avg_daily_stop_events",

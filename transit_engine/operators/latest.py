@@ -113,7 +113,8 @@ def live_health(
     return state.groupBy("city").agg(
         F.count(F.when(age_us < ttl_seconds * 1_000_000, 1)).alias("vehicle_count"),
         F.max("upserted_at").alias("last_upsert_at"),
-        F.max_by("vehicle_id", F.struct("upserted_at", "vehicle_id")).alias("last_vehicle_id"),
+        # All records of a batch are written at one time: the last to arrive is the last written.
+        F.max_by("vehicle_id", F.struct("upserted_at", "seq")).alias("last_vehicle_id"),
     )
 
 

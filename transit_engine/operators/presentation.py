@@ -17,10 +17,11 @@ from transit_engine.functions.text import (
     split_categories,
     stop_display_label,
 )
-from transit_engine.operators.access import ACCESS_COUNTS, _category_bit, _category_text
+from transit_engine.operators.access import ACCESS_COUNTS
 from transit_engine.operators.keyed import best_per_key, sort_columns
 
 _ROUTE = ["city", "route_id"]
+MAX_CITIES = 10_000
 
 
 def service_value(avg_daily: Column, trip_count: Column) -> Column:
@@ -44,11 +45,8 @@ def route_stop_rollup(context: DataFrame) -> DataFrame:
         F.col("stop_id").alias("id"),
     )
     first = F.min_by(F.struct("stop_id", "stop_name", "stop_lat", "stop_lon"), own_order)
-    bits = F.aggregate(
-        split_categories(F.col("poi_categories")),
-        F.lit(0).cast("long"),
-        lambda mask, part: mask.bitwiseOR(F.coalesce(_category_bit(part), F.lit(0).cast("long"))),
-    )
+    # One entry per distinct category list, of which a stop name has as many as platforms.
+    lists = F.collect_set(split_categories(F.col("poi_categories")))
     merged = context.groupBy(*_ROUTE, name.alias("stop_key")).agg(
         first.alias("first"),
         F.count(zero).alias("stop_instances"),
@@ -57,15 +55,14 @@ def route_stop_rollup(context: DataFrame) -> DataFrame:
             "avg_daily_stop_events"
         ),
         *[F.max(F.coalesce(count, zero)).alias(count) for count in ACCESS_COUNTS],
-        F.bit_or(bits).alias("bits"),
+        F.array_sort(F.array_distinct(F.flatten(lists))).alias("categories"),
     )
     return merged.select(
         *_ROUTE, "stop_key", "first.*", "stop_instances", "trip_count", "avg_daily_stop_events",
-        *ACCESS_COUNTS, _category_text(F.col("bits")).alias("poi_categories"),
+        *ACCESS_COUNTS, F.array_join("categories", ", ").alias("poi_categories"),
     )
 
 
-ROLLUP_ORDER = ["-trip_count", "-poi_count_within_400m", "stop_key"]
 ROLLUP_ACCESS_ORDER = ["-poi_count_within_400m", "-trip_count", "stop_key"]
 
 
@@ -91,10 +88,17 @@ def ratio_to_max(
     """value / largest value of the group, 0 if that is 0.
 
     The maximum is aggregated and joined back: a window over a city would put all of that
-    city's rows into one task.
+    city's rows into one task. By city there are at most ``MAX_CITIES`` of them, which is checked;
+    so they are sent to the rows, which stay where they are.
     """
     scored = df.withColumn("_value", value)
     largest = scored.groupBy(*by).agg(F.max("_value").alias("_max"))
+    if list(by) == ["city"]:
+        over = F.raise_error(F.lit(f"more than {MAX_CITIES} cities"))
+        place = F.row_number().over(Window.orderBy("city"))
+        largest = F.broadcast(
+            largest.withColumn("_max", F.when(place <= MAX_CITIES, F.col("_max")).otherwise(over))
+        )
     return (
         scored.join(largest, list(by))
         .withColumn(name, tiers.share_of(F.col("_value"), F.col("_max")))
@@ -200,8 +204,9 @@ def route_options(by_route: DataFrame) -> DataFrame:
 
 
 def route_stops_over_threshold(by_route: DataFrame, min_trips: int = 0) -> DataFrame:
-    """Stops of each route with at least ``min_trips`` stop events."""
-    return by_route.where(F.col("trip_count") >= min_trips)
+    """Stops of each route with at least ``min_trips`` stop events, by trips downwards."""
+    shown = by_route.where(F.col("trip_count") >= min_trips)
+    return shown.orderBy("city", "route_id", *sort_columns(["-trip_count", "stop_id"]))
 
 
 def live_route_options(vehicles: DataFrame) -> DataFrame:

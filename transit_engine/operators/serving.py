@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transit_engine.constants import (
@@ -21,7 +21,7 @@ from transit_engine.constants import (
     STOP_LIMIT,
 )
 from transit_engine.operators.access import ACCESS_COLUMNS
-from transit_engine.operators.keyed import best_per_key, top_rows
+from transit_engine.operators.keyed import best_per_key, sort_columns, top_rows
 
 
 # Sort keys; a leading minus sorts downwards.
@@ -133,14 +133,14 @@ def route_preview(
     )
 
 
-def route_shape_points(shapes: DataFrame, city: str, route_id: str) -> DataFrame:
-    """The points of one route in drawing order."""
+def route_shape_points(shapes: DataFrame, routes: DataFrame) -> DataFrame:
+    """The points of the given routes (city, route_id), one or a few, in drawing order."""
     return (
-        shapes.where((F.col("city") == city) & (F.col("route_id") == route_id))
+        shapes.join(routes, ["city", "route_id"], "left_semi")
         .select(
             "city", "route_id", "shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon"
         )
-        .orderBy("shape_id", "shape_pt_sequence")
+        .orderBy("city", "route_id", "shape_id", "shape_pt_sequence")
     )
 
 
@@ -286,9 +286,13 @@ def city_comparison(
 def section_list(
     report: DataFrame, order: Sequence[str], name: str
 ) -> DataFrame:
-    """A bounded per-city report as one sorted array per city."""
+    """A report as one sorted array per city; it holds all the rows that the report has.
+
+    The report brings its own limit, or has a row per class or type.
+    """
     content = [c for c in report.columns if c != "city"]
-    ranked = best_per_key(report, ["city"], order, CATALOG_LIMIT, rank="position")
+    place = Window.partitionBy("city").orderBy(*sort_columns(order))
+    ranked = report.withColumn("position", F.row_number().over(place))
     rows = F.array_sort(F.collect_list(F.struct("position", *content)))
     return ranked.groupBy("city").agg(rows.alias(name))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,9 +63,9 @@ def clean_all(
     for table, clean in _CLEANERS.items():
         is_map = table in ("roads", "pois")
         raw = scan_osm(spark, osm, table) if is_map else scan_gtfs(spark, gtfs, table)
-        counts |= write_dataset(clean(raw), clean_root, table)
+        counts |= write_dataset(clean(raw), clean_root, table, list(gtfs))
     dates = service_calendar.active_service_dates(*scan_calendar(spark, gtfs))
-    return counts | write_dataset(dates, clean_root, "active_service_dates")
+    return counts | write_dataset(dates, clean_root, "active_service_dates", list(gtfs))
 
 
 def read_clean(spark: SparkSession, clean_root: str) -> TransitTables:
@@ -77,20 +78,24 @@ def read_clean(spark: SparkSession, clean_root: str) -> TransitTables:
     )
 
 
-def build_analytics(spark: SparkSession, tables: TransitTables, root: str) -> dict[str, int]:
+def build_analytics(
+    spark: SparkSession, tables: TransitTables, root: str, cities: Sequence[str] = ()
+) -> dict[str, int]:
     """Write the nine tables below ``root`` and return their row counts.
 
+    ``cities`` are those the run is for; what one of them no longer has is cleared.
+
     A table that others build on is written once and read back, which also cuts its lineage.
     The two stop tables come from one counted join of stop_times, kept as ``route_stop_counts``.
     """
     counts: dict[str, int] = {}
 
     def save(df: DataFrame, dataset: str) -> DataFrame:
-        counts.update(write_dataset(df, root, dataset))
+        counts.update(write_dataset(df, root, dataset, cities))
         return read_dataset(spark, root, dataset, ANALYTICS[dataset])
 
     working = "route_stop_counts"
-    write_dataset(activity.route_stop_counts(tables.events), root, working)
+    write_dataset(activity.route_stop_counts(tables.events), root, working, cities)
     visits = read_dataset(
         spark, root, working,
         "city string, route_id string, stop_id string, trip_count long, service_days long",
@@ -100,7 +105,8 @@ def build_analytics(spark: SparkSession, tables: TransitTables, root: str) -> di
     enriched = save(
         activity.stop_activity_enriched(tables.stops, stop_activity), "stop_activity_enriched"
     )
-    save(activity.route_activity(tables.events, tables.routes, feed_days), "route_activity")
+    trips = activity.running_trips(tables.stop_times, tables.trips)
+    save(activity.route_activity(visits, trips, tables.routes, feed_days), "route_activity")
     by_route = save(
         activity.stop_activity_by_route(visits, tables.routes, tables.stops, feed_days),
         "stop_activity_by_route",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -55,16 +57,22 @@ def local_session(cpus: int | str = "*", memory: str = "12g", shuffle_partitions
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, where the cluster names one.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, where the cluster names one,
+    or the session's checkpoint directory.
 
-    Only a session that names none (a laptop, a test) gets a temporary folder of its own.
+    Without either, a session on one machine (a laptop, a test) gets a temporary folder, removed
+    when Python ends; on a cluster that would lose what the executors write, so it is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if "path" not in _own_folder:
-            _own_folder["path"] = tempfile.mkdtemp(prefix="transit-")
-        folder = _own_folder["path"]
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"no shared folder: set spark.checkpoint.dir (master {master})")
+    if "path" not in _own_folder:
+        _own_folder["path"] = tempfile.mkdtemp(prefix="transit-")
+        atexit.register(shutil.rmtree, _own_folder["path"], ignore_errors=True)
+    return _own_folder["path"]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

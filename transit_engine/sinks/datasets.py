@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,21 +10,36 @@ from pyspark.sql import functions as F
 from transit_engine.sources.files import path_exists
 
 
-def write_dataset(df: DataFrame, root: str, dataset: str) -> dict[str, int]:
+def write_dataset(
+    df: DataFrame, root: str, dataset: str, cities: Sequence[str] = ()
+) -> dict[str, int]:
     """Write ``root/dataset`` by city and return its row count.
 
-    Only the cities that ``df`` has are replaced, so a rerun of one city leaves the others. The
-    count is observed during the write instead of running the plan twice.
+    Only the cities that ``df`` has are replaced, so a rerun of one city leaves the others.
+    ``cities`` are those the run is for: one of them that has become empty loses its old rows. The
+    counts are observed during the write instead of running the plan twice.
     """
     counted = Observation(dataset)
+    per_city = [
+        F.count(F.when(F.col("city") == city, 1)).alias(f"rows_{i}") for i, city in enumerate(cities)
+    ]
     (
-        df.observe(counted, F.count(F.lit(1)).alias("row_count"))
+        df.observe(counted, F.count(F.lit(1)).alias("row_count"), *per_city)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("city")
         .parquet(f"{root}/{dataset}")
     )
-    return {dataset: int(counted.get["row_count"])}
+    counts = counted.get
+    for i, city in enumerate(cities):
+        if not counts[f"rows_{i}"]:
+            remove_folder(df.sparkSession, f"{root}/{dataset}/city={city}")
+    return {dataset: int(counts["row_count"])}
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def city_folders(

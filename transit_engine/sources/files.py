@@ -61,11 +61,20 @@ def scan_calendar(spark: SparkSession, folders: Mapping[str, str]) -> tuple[Data
 
 
 def scan_osm(spark: SparkSession, folders: Mapping[str, str], table: str) -> DataFrame:
-    """``roads`` or ``pois`` of every city; an extract without any place has no header line."""
-    frames = [
-        _read_text_table(spark, f"{folder}/{table}.csv", city) for city, folder in folders.items()
-    ]
-    return _stack([_empty(spark, table), *[f for f in frames if "osm_id" in f.columns]])
+    """``roads`` or ``pois`` of every city.
+
+    An extract without any place is an empty file, without header line; it adds no rows. A file
+    with another header is an error, not a city without places.
+    """
+    frames = [_empty(spark, table)]
+    for city, folder in folders.items():
+        path = f"{folder}/{table}.csv"
+        frame = _read_text_table(spark, path, city)
+        if "osm_id" in frame.columns:
+            frames.append(frame)
+        elif not spark.read.text(path).where(F.trim("value") != "").isEmpty():
+            raise ValueError(f"no osm_id in the header of {path}: {frame.columns}")
+    return _stack(frames)
 
 
 def read_dataset(spark: SparkSession, root: str, dataset: str, schema: str) -> DataFrame:
