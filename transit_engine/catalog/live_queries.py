@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from transit_engine.catalog.surrogate import Surrogate
 from transit_engine.constants import CTA_BUS_TIME_FORMATS, CTA_ZONE
 from transit_engine.functions.times import parse_local_timestamp
 from transit_engine.operators import activity, latest, live, service_calendar
-from transit_engine.plans.batch import build_analytics
-from transit_engine.schemas import ANALYTICS
+from transit_engine.plans.batch import build_analytics, clean_all, read_clean
+from transit_engine.plans.warehouse import load_datasets
+from transit_engine.schemas import ANALYTICS, CLEAN
 from transit_engine.session import scratch_path
 from transit_engine.sinks import datasets
 from transit_engine.sinks.streams import stream_sink_latest as sink_latest
@@ -233,6 +236,31 @@ def live_state_upsert(s: Surrogate) -> DataFrame:
 
 # Files and datasets.
 
+# An integer column of each dataset whose sum stands for its content.
+MEASURES = {
+    "stops": "location_type", "routes": "route_type", "trips": "direction_id",
+    "stop_times": "stop_sequence", "shapes": "shape_pt_sequence", "roads": "osm_id",
+    "pois": "osm_id", "stop_activity": "trip_count", "stop_activity_enriched": "trip_count",
+    "route_activity": "distinct_trip_count", "stop_activity_by_route": "trip_count",
+    "route_shapes": "shape_pt_sequence", "stop_poi_access": "poi_count_within_400m",
+    "busiest_stops_with_poi_context": "poi_count_within_400m",
+    "route_poi_access": "total_poi_access", "transit_road_coverage": "road_segments_near_transit",
+}
+
+
+def _measured(tables: dict[str, DataFrame], upper: bool = False) -> DataFrame:
+    """city, dataset, row_count, measure of every table."""
+    told = None
+    for name, table in tables.items():
+        city, measure = ("CITY", MEASURES[name].upper()) if upper else ("city", MEASURES[name])
+        assert {city, measure} <= set(table.columns)
+        one = table.groupBy(F.col(city).alias("city")).agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.col(measure).cast("long")).alias("measure"),
+        )
+        told = one if told is None else told.unionByName(one)
+    return told
+
 
 def _raw_folders(s: Surrogate, **tables: DataFrame) -> dict[str, str]:
     """Raw text files per city, as feeds deliver them."""
@@ -271,9 +299,11 @@ def scan_osm(s: Surrogate) -> DataFrame:
 
 @query
 def scan_clean(s: Surrogate) -> DataFrame:
+    """All seven clean tables, written and read back."""
     root = scratch_path(s.spark, "clean")
-    datasets.write_dataset(s.stops, root, "stops")
-    return files.scan_clean(s.spark, root, "stops")
+    for table in CLEAN:
+        datasets.write_dataset(getattr(s, table), root, table)
+    return _measured({table: files.scan_clean(s.spark, root, table) for table in CLEAN})
 
 
 @query
@@ -285,9 +315,14 @@ def write_dataset(s: Surrogate) -> DataFrame:
 
 @query
 def warehouse_union(s: Surrogate) -> DataFrame:
-    return datasets.warehouse_union([
-        s.stops.where(F.col("city") == city) for city in ("boston", "chicago")
-    ])
+    """All sixteen datasets, each stacked from one part per city."""
+    stacked = {
+        name: datasets.warehouse_union([
+            getattr(s, name).where(F.col("city") == city) for city in ("boston", "chicago")
+        ])
+        for name in MEASURES
+    }
+    return _measured(stacked, upper=True)
 
 
 @query
@@ -299,10 +334,34 @@ def legacy_load(s: Surrogate) -> DataFrame:
 
 @query
 def dataset_row_counts(s: Surrogate) -> DataFrame:
-    return datasets.dataset_row_counts({
-        "stops": s.stops, "trips": s.trips, "stop_times": s.stop_times, "pois": s.pois,
-        "stop_activity": s.stop_activity,
-    })
+    return datasets.dataset_row_counts({name: getattr(s, name) for name in MEASURES})
+
+
+@query
+def raw_to_warehouse(s: Surrogate) -> DataFrame:
+    """The whole run: raw files of all tables and both cities are cleaned, analysed and loaded.
+
+    Trips and stop times write their ids differently in the test tables; here they agree.
+    """
+    stop_times = s.raw_stop_times.withColumn("trip_id", F.regexp_replace("trip_id", r"^( *)0+(?=[0-9])", "$1"))
+    gtfs = _raw_folders(
+        s, stops__txt=s.raw_stops, routes__txt=s.raw_routes, trips__txt=s.raw_trips,
+        stop_times__txt=stop_times, shapes__txt=s.raw_shapes, calendar__txt=s.calendar,
+        calendar_dates__txt=s.calendar_dates,
+    )
+    osm = _raw_folders(s, roads__csv=s.raw_roads, pois__csv=s.raw_pois)
+    clean_root, root = scratch_path(s.spark, "clean"), scratch_path(s.spark, "analytics")
+    cities = list(gtfs)
+    clean_all(s.spark, gtfs, osm, clean_root)
+    build_analytics(s.spark, read_clean(s.spark, clean_root), root, cities)
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    tables = load_datasets(s.spark, clean_root, root, cities, prefix)
+    told = _measured({dataset: s.spark.table(name) for dataset, name in tables.items()}, upper=True)
+    out = scratch_path(s.spark, "loaded")
+    told.write.parquet(out)
+    for name in tables.values():
+        s.spark.sql(f"DROP TABLE {name}")
+    return s.spark.read.schema(told.schema).parquet(out)
 
 
 @query

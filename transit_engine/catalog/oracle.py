@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from transit_engine.catalog.live_queries import MEASURES
 from transit_engine.constants import (
     AMENITY_GROUP_LABELS,
     POI_CATEGORY_LABELS,
@@ -978,23 +979,13 @@ FINAL |= {
     "scan_osm": """
         SELECT city, COUNT(*) AS segments, COUNT(DISTINCT osm_id) AS ids FROM (
             SELECT city, o_orderkey // 2 AS osm_id FROM orders, cities) GROUP BY city""",
-    "scan_clean": "SELECT * FROM s_stops",
     "write_dataset": "SELECT * FROM stop_activity",
-    "warehouse_union": "SELECT city AS CITY, stop_id AS STOP_ID, stop_name AS STOP_NAME, "
-    "stop_lat AS STOP_LAT, stop_lon AS STOP_LON, location_type AS LOCATION_TYPE, "
-    "parent_station AS PARENT_STATION FROM s_stops",
     "legacy_load": """
         SELECT a.city || '/' || a.stop_id AS STOP_ID, stop_name AS STOP_NAME, stop_lat AS STOP_LAT,
             stop_lon AS STOP_LON, trip_count AS TRIP_COUNT, location_type AS LOCATION_TYPE,
             parent_station AS PARENT_STATION
         FROM (SELECT city, stop_id, COUNT(*) AS trip_count FROM s_stop_times GROUP BY ALL) a
         JOIN s_stops s ON s.city = a.city AND s.stop_id = a.stop_id""",
-    "dataset_row_counts": """
-        SELECT city, 'stops' AS dataset, COUNT(*) AS row_count FROM s_stops GROUP BY city
-        UNION ALL SELECT city, 'trips', COUNT(*) FROM s_trips GROUP BY city
-        UNION ALL SELECT city, 'stop_times', COUNT(*) FROM s_stop_times GROUP BY city
-        UNION ALL SELECT city, 'pois', COUNT(*) FROM s_pois GROUP BY city
-        UNION ALL SELECT city, 'stop_activity', COUNT(*) FROM stop_activity GROUP BY city""",
     "build_analytics": """
         SELECT 'stop_activity' AS dataset, COUNT(*) AS row_count FROM stop_activity
         UNION ALL SELECT 'stop_activity_enriched', COUNT(*) FROM stop_activity_enriched
@@ -1009,10 +1000,40 @@ FINAL |= {
 
 
 
+# Where the analytics tables of the common part go by another name.
+_TABLES = {"busiest_stops_with_poi_context": "busiest", "transit_road_coverage": "road_coverage"}
+_CLEAN = ["stops", "routes", "trips", "stop_times", "shapes", "roads", "pois"]
+
+
+def _raw_to_warehouse() -> str:
+    """The common tables again, over cleaned raw tables instead of ready-made clean ones."""
+    cleaned = {f"s_{name}": FINAL[f"clean_{name}"] for name in _CLEAN}
+    cleaned["s_stop_times"] = (
+        f"SELECT city, CAST(CAST(trip_id AS BIGINT) AS VARCHAR) AS trip_id, arrival_time, departure_time, stop_id, "
+        f"stop_sequence FROM ({cleaned['s_stop_times']})"
+    )
+    common = ",\n".join(f"{name} AS ({cleaned.get(name, body)})" for name, body in BASE.items())
+    return f"WITH {common}\n" + _measured(MEASURES)
+
+
+def _measured(names, measure: bool = True) -> str:
+    def one(dataset: str) -> str:
+        table = f"s_{dataset}" if dataset in _CLEAN else _TABLES.get(dataset, dataset)
+        summed = f", CAST(SUM(CAST({MEASURES[dataset]} AS BIGINT)) AS BIGINT) AS measure" * measure
+        return f"SELECT city, '{dataset}' AS dataset, COUNT(*) AS row_count{summed} FROM {table} GROUP BY city"
+
+    return "\nUNION ALL ".join(map(one, names))
+
+
 def sql() -> dict[str, str]:
     """Complete statements: the common tables, then the query."""
     common = ",\n".join(f"{name} AS ({body})" for name, body in BASE.items())
-    statements = {}
+    statements = {"raw_to_warehouse": _raw_to_warehouse()}
+    for name, body in (
+        ("scan_clean", _measured(_CLEAN)), ("warehouse_union", _measured(MEASURES)),
+        ("dataset_row_counts", _measured(MEASURES, measure=False)),
+    ):
+        statements[name] = f"WITH {common}\n{body}"
     for name, body in FINAL.items():
         own = body.strip()
         if own.startswith("WITH "):
