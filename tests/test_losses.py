@@ -128,3 +128,11 @@ def test_maxima_by_city_leave_the_rows_where_they_are(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_one_city_reads_only_its_folders(spark, tmp_path):
+    table = spark.createDataFrame([("b", 1), ("c", 2)], "city string, n int")
+    datasets.write_dataset(table, str(tmp_path), "d")
+    read = read_dataset(spark, str(tmp_path), "d", "city string, n int").where(F.col("city") == "b")
+    assert "PartitionFilters: [isnotnull(city" in plan(read)
+    assert rows(read, "city", "n") == [("b", 1)]

@@ -1029,6 +1029,11 @@ def sql() -> dict[str, str]:
     """Complete statements: the common tables, then the query."""
     common = ",\n".join(f"{name} AS ({body})" for name, body in BASE.items())
     statements = {"raw_to_warehouse": _raw_to_warehouse()}
+    for name, source in (
+        ("one_city_dashboard", "city_dashboard"), ("one_city_top_stops", "top_stops_activity"),
+        ("one_city_route_catalog", "route_catalog"),
+    ):
+        statements[name] = f"WITH {common}\nSELECT * FROM ({FINAL[source]}) WHERE city = 'boston'"
     for name, body in (
         ("scan_clean", _measured(_CLEAN)), ("warehouse_union", _measured(MEASURES)),
         ("dataset_row_counts", _measured(MEASURES, measure=False)),

@@ -414,7 +414,8 @@ def _detail_rows(detail: DataFrame) -> DataFrame:
 
 @query
 def city_overview(s: Surrogate) -> DataFrame:
-    return snapshot.city_overview(s.analytics)
+    """Read from the written tables, as a serving query is."""
+    return snapshot.city_overview(s.written)
 
 
 @query
@@ -441,7 +442,7 @@ def city_dimension(s: Surrogate) -> DataFrame:
 
 @query
 def city_comparison(s: Surrogate) -> DataFrame:
-    compared = snapshot.city_comparison(s.analytics)
+    compared = snapshot.city_comparison(s.written)
     return compared.select(
         "city", "display_name", "total_stops", "total_routes", "total_stop_events",
         "avg_daily_stop_events", "stops_with_poi_context", "avg_poi_access_per_stop",
@@ -491,6 +492,24 @@ def city_dashboard(s: Surrogate) -> DataFrame:
     return _dashboard_rows(snapshot.city_dashboard(s.written))
 
 
+@query
+def one_city_dashboard(s: Surrogate) -> DataFrame:
+    """The dashboard of one city, from its folders alone."""
+    board = snapshot.city_dashboard(s.written.of_city("boston"))
+    return _dashboard_rows(board.where(F.col("city") == "boston"))
+
+
+@query
+def one_city_top_stops(s: Surrogate) -> DataFrame:
+    top = serving.top_stops_activity(s.written.busiest_stops_with_poi_context, city="boston")
+    return access_metres(top)
+
+
+@query
+def one_city_route_catalog(s: Surrogate) -> DataFrame:
+    return serving.route_catalog(s.written.route_activity, city="boston")
+
+
 def _snapshot_rows(parts: dict[str, DataFrame]) -> DataFrame:
     """Rows per part of a snapshot: dashboard entries, catalog, previews, detail."""
 
