@@ -113,6 +113,16 @@ def test_subtrees_of_a_dense_ball():
     assert set(zip(a.tolist(), b.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(close & low))))
 
 
+def test_links_merged_slice_by_slice():
+    rng = np.random.default_rng(4)
+    for n, m in ((30, 25), (200, 150), (50, 400)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        label = np.arange(n)
+        for k in range(0, m, 7):
+            label = simhash.merged(label, a[k : k + 7], b[k : k + 7])
+        assert dict(enumerate(label.tolist())) == roots(range(n), zip(a.tolist(), b.tolist()))
+
+
 def test_components_of_chains_stars_and_rings(spark):
     chain = [(i, i + 1) for i in range(300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
@@ -393,7 +403,7 @@ def test_bpe_of_odd_texts(encoding, monkeypatch):
 
 def test_licenses_against_every_part_and_template(spark, texts):
     chosen = {i: t for i, t in texts.items()} | {
-        10_000 + k: f"some words before.\n{text}\n\nand after" for k, (_, text) in
+        10_000 + k: f"some words before.\n\n{text}\n\nand after" for k, (_, text) in
         enumerate(license_scan.TEMPLATES)
     }
     docs = spark.createDataFrame(list(chosen.items()), "doc_id long, text string")

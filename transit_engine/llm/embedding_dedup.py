@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from transit_engine.llm.common import broadcast_bounded, saved
 from transit_engine.llm.components import components
-from transit_engine.llm.simhash import spanning_edges
+from transit_engine.llm.simhash import merged
 
 MIN_COSINE = 0.9
 PER_VECTOR = 32  # filters a vector passes on average
@@ -179,9 +179,7 @@ def _compare(min_cosine: float):
         first = ~_share_earlier(filters, a, b, this) if len(a) else np.zeros(0, bool)
         links = np.bincount(a[first], sizes[b[first]], len(uids))
         links = (links + np.bincount(b[first], sizes[a[first]], len(uids))).astype(np.int64)
-        top = np.arange(len(uids))
-        tip, root = spanning_edges(len(uids), a, b)
-        top[tip] = root
+        top = merged(np.arange(len(uids)), a, b)
         told = np.flatnonzero((links > 0) | (top != np.arange(len(uids))))
         return pa.table({
             "uid": pa.array(uids[told], pa.int64()), "links": pa.array(links[told], pa.int64()),

@@ -147,18 +147,27 @@ def subtree_pairs(keys: DataFrame, n: int, leaf: int = LEAF) -> list[tuple[int,
         depth = below
 
 
-def spanning_edges(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A star per component of the nodes 0..n-1 under the links (a, b)."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if np.array_equal(before, label):
-            break
-    tip = np.flatnonzero(label != np.arange(n))
+def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels of nodes after the links (a, b).
+
+    A label is the smallest node of its component, before and after; only these are hooked to each
+    other, so that what earlier links have joined stays together.
+    """
+    while True:
+        top_a, top_b = label[a], label[b]
+        apart = top_a != top_b
+        if not apart.any():
+            return label
+        a, b, top_a, top_b = a[apart], b[apart], top_a[apart], top_b[apart]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(top_a, top_b), np.minimum(top_a, top_b))
+        while not np.array_equal(label, further := label[label]):
+            label = further
+
+
+def spanning_edges(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A star per component."""
+    tip = np.flatnonzero(label != np.arange(len(label)))
     return tip, label[tip]
 
 
@@ -178,16 +187,18 @@ def _crossed(lo_a, hi_a, lo_b, hi_b):
     return lo_a[which] + at // wide[which], lo_b[which] + at % wide[which]
 
 
-def join_subtrees(u: np.ndarray, v: np.ndarray | None, depth: int, diff: int):
+def join_subtrees(
+    u: np.ndarray, v: np.ndarray | None, depth: int, diff: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between two sorted arrays of keys, or within one, below nodes of ``depth``.
 
-    Traverses pairs of nodes; the frontier is taken in slices, so that memory stays bounded.
+    Traverses pairs of nodes. The frontier is taken in slices and links are given out slice by
+    slice, so that memory doesn't depend on how many links there are.
     """
     same = v is None
     v = u if same else v
     if not len(u) or not len(v):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found_a, found_b = [], []
+        return
     start = np.array([[0, len(u), 0, len(v), diff]], np.int64)
     stack = [(depth, start)]
     while stack:
@@ -203,8 +214,7 @@ def join_subtrees(u: np.ndarray, v: np.ndarray | None, depth: int, diff: int):
             close = np.bitwise_count(u[a] ^ v[b]) <= MAX_BITS
             if same:
                 close &= a < b
-            found_a.append(a[close])
-            found_b.append(b[close])
+            yield a[close], b[close]
         nodes = nodes[~done]
         if not len(nodes):
             continue
@@ -220,7 +230,6 @@ def join_subtrees(u: np.ndarray, v: np.ndarray | None, depth: int, diff: int):
         alive = (children[:, 0] < children[:, 1]) & (children[:, 2] < children[:, 3])
         alive &= children[:, 4] <= _budget(depth + 1)
         stack.append((depth + 1, children[alive]))
-    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def _finish(key: tuple, table: pa.Table) -> pa.Table:
@@ -230,9 +239,11 @@ def _finish(key: tuple, table: pa.Table) -> pa.Table:
     keys = table.column("key").to_numpy().view(np.uint64)
     of_v = table.column("of_v").to_numpy(zero_copy_only=False)
     u, v = np.sort(keys[~of_v]), np.sort(keys[of_v])
-    a, b = join_subtrees(u, None if u_is_v else v, depth, diff)
     both = u if u_is_v else np.concatenate([u, v])
-    a, b = spanning_edges(len(both), a, b if u_is_v else b + len(u))
+    label = np.arange(len(both))
+    for a, b in join_subtrees(u, None if u_is_v else v, depth, diff):
+        label = merged(label, a, b if u_is_v else b + len(u))
+    a, b = spanning_edges(label)
     if half:
         both = (both << np.uint64(BITS // 2)) | (both >> np.uint64(BITS // 2))
     both = both.view(np.int64)
