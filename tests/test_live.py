@@ -118,7 +118,7 @@ def test_dedupe_keeps_later_tie_and_first_undated(spark):
         [("a", 1, late, None), ("a", 2, None, late), ("a", 3, early, late), ("a", 4, None, None),
          ("b", 1, None, None), ("b", 2, None, None), ("c", 1, None, None), ("c", 2, early, None)],
         "vehicle_id string, seq int, updated_at timestamp, feed_timestamp timestamp",
-    )
+    ).withColumn("city", F.lit("x"))
     assert rows(live.dedupe_latest(records, ["seq"]), "vehicle_id", "seq") == [
         ("a", 2), ("b", 1), ("c", 2),
     ]
@@ -191,3 +191,24 @@ def test_listing_expires_filters_and_sorts(spark):
     health = latest.live_health(state, F.lit(NOON.replace(minute=3)))
     # All were written at one time: the last to arrive counts, not the last by name.
     assert rows(health) == [("b", 0, NOON, "v2")]
+
+
+def test_later_polls_decide_by_number(spark):
+    """"10" comes after "9": a route that was inactive is back, and has its newer name."""
+    vehicles = spark.createDataFrame([("10", "r"), ("9", "s")], "payload_id string, rt string")
+    inactive = spark.createDataFrame([("9", "r"), ("10", "s")], "payload_id string, rt string")
+    assert rows(live.active_bus_routes(vehicles, inactive)) == [("r",)]
+    route = "struct<rt:string, rtnm:string>"
+    responses = spark.createDataFrame(
+        [("9", [("r", "old")]), ("10", [("r", "new")])], f"payload_id string, routes array<{route}>"
+    )
+    assert rows(payloads.bus_routes(responses)) == [("r", "new")]
+
+
+def test_cities_are_told_apart_when_records_are_deduped(spark):
+    records = spark.createDataFrame(
+        [("b", "v", None, "9", 1), ("c", "v", None, "9", 2), ("b", "v", None, "10", 3), ("d", "w", NOON, "9", 4),
+         ("d", "w", NOON, "10", 5)],
+        "city string, vehicle_id string, updated_at timestamp, payload_id string, n int",
+    ).withColumn("feed_timestamp", F.col("updated_at"))
+    assert rows(live.dedupe_latest(records, ["payload_id"]), "n") == [(1,), (2,), (5,)]

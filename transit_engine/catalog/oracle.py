@@ -927,11 +927,15 @@ FINAL |= {
             CASE WHEN event_id % 701 <> 5 THEN CAST(user_id % 40 AS VARCHAR) END AS rt
         FROM events WHERE event_id % 97 = 0 OR event_id % 701 = 5""",
     "active_bus_routes": """
-        SELECT DISTINCT CAST(user_id % 40 AS VARCHAR) AS rt FROM events
-        WHERE user_id % 17 <> 0 AND user_id % 40 NOT IN (
-            SELECT user_id % 40 FROM events WHERE event_id % 97 = 0 AND event_id % 701 <> 5)""",
+        SELECT CAST(seen.rt AS VARCHAR) AS rt FROM (
+            SELECT user_id % 40 AS rt, MAX(event_id // 100) AS poll FROM events
+            WHERE user_id % 17 <> 0 GROUP BY 1) seen
+        LEFT JOIN (
+            SELECT user_id % 40 AS rt, MAX(event_id // 100) AS poll FROM events
+            WHERE event_id % 97 = 0 AND event_id % 701 <> 5 GROUP BY 1) gone ON gone.rt = seen.rt
+        WHERE gone.poll IS NULL OR seen.poll > gone.poll""",
     "dedupe_latest": f"""
-        SELECT {_TIMED}, seq FROM s_live QUALIFY ROW_NUMBER() OVER (PARTITION BY vehicle_id
+        SELECT {_TIMED}, seq FROM s_live QUALIFY ROW_NUMBER() OVER (PARTITION BY city, vehicle_id
             ORDER BY COALESCE(updated_at, feed_timestamp) DESC NULLS LAST,
             CASE WHEN COALESCE(updated_at, feed_timestamp) IS NULL THEN -seq ELSE seq END DESC)
             = 1""",

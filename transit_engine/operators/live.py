@@ -15,6 +15,7 @@ from transit_engine.constants import (
 )
 from transit_engine.functions.text import blank_to_null, joined
 from transit_engine.functions.times import parse_iso_timestamp, parse_local_timestamp
+from transit_engine.sources.payloads import poll_order
 
 # What says in which order rows arrived; carried along beside the record.
 ARRIVAL = ["payload_id", "line_no", "item_no"]
@@ -145,24 +146,32 @@ def accepted_vehicles(vehicles: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def active_bus_routes(vehicles: DataFrame, inactive: DataFrame) -> DataFrame:
-    """Routes with at least one vehicle that are not reported inactive."""
-    seen = vehicles.select("rt").where(blank_to_null(F.col("rt")).isNotNull()).distinct()
-    return seen.join(inactive.select("rt"), "rt", "left_anti")
+    """Routes with a vehicle in a later response than the last that calls them inactive."""
+
+    def last(df: DataFrame, name: str) -> DataFrame:
+        named = df.where(blank_to_null(F.col("rt")).isNotNull())
+        return named.groupBy("rt").agg(F.max(F.struct(*poll_order())).alias(name))
+
+    both = last(vehicles, "seen").join(last(inactive, "gone"), "rt", "left")
+    return both.where(F.col("gone").isNull() | (F.col("seen") > F.col("gone"))).select("rt")
 
 
 def dedupe_latest(records: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """One record per vehicle: the latest by time, on a tie the one that arrived later.
+    """One record per vehicle of a city: the latest by time, on a tie the one that arrived later.
 
     A record without any time never replaces another, so among such records the first stays.
     An aggregate, so a vehicle with very many records is reduced before the shuffle.
     """
     time = F.coalesce("updated_at", "feed_timestamp")
     undated = time.isNull()
-    dated_order = F.when(~undated, F.struct(time.alias("time"), *arrival))
+    arrived: list[Column] = []
+    for name in arrival:
+        arrived += poll_order() if name == "payload_id" else [F.col(name)]
+    dated_order = F.when(~undated, F.struct(time.alias("time"), *arrived))
     latest = F.max_by(F.struct(*records.columns), dated_order)
-    first = F.min_by(F.struct(*records.columns), F.struct(*arrival))
+    first = F.min_by(F.struct(*records.columns), F.struct(*arrived))
     return (
-        records.groupBy("vehicle_id")
+        records.groupBy("city", "vehicle_id")
         .agg(F.coalesce(latest, first).alias("row"))
         .select("row.*")
     )

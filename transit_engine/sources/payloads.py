@@ -48,6 +48,11 @@ def landed(spark, path: str) -> DataFrame:
     )
 
 
+def poll_order() -> list[Column]:
+    """The order of responses: by the number that names them, else by their name."""
+    return [F.col("payload_id").try_cast("long").alias("poll"), F.col("payload_id")]
+
+
 def _items(df: DataFrame, items: Column, name: str = "item") -> DataFrame:
     return df.select("payload_id", F.posexplode(items).alias("item_no", name))
 
@@ -104,12 +109,12 @@ def bus_errors(responses: DataFrame) -> DataFrame:
 
 
 def bus_routes(responses: DataFrame) -> DataFrame:
-    """Route id and name; the last mention of a route in the response counts."""
+    """Route id and name; the last mention in the latest response counts."""
     named = _items(responses, F.col("routes"), "route").select("payload_id", "item_no", "route.*")
     return (
         named.where(F.nullif("rt", F.lit("")).isNotNull())
         .groupBy("rt")
-        .agg(F.max_by("rtnm", F.struct("payload_id", "item_no")).alias("rtnm"))
+        .agg(F.max_by("rtnm", F.struct(*poll_order(), "item_no")).alias("rtnm"))
     )
 
 
