@@ -7,7 +7,12 @@ from transit_engine.operators.latest import latest_vehicle_changelog
 from transit_engine.sinks.streams import stream_sink_latest
 from transit_engine.sources import streams
 from transit_engine.streaming import state_table
-from transit_engine.streaming.latest_vehicle import latest_vehicle_stream
+from transit_engine.streaming.latest_vehicle import (
+    accept_latest,
+    accepted_messages,
+    keep_latest,
+    latest_vehicle_stream,
+)
 
 NOON = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
 
@@ -118,3 +123,50 @@ def test_a_batch_that_runs_again_gives_the_same_state(spark, tmp_path):
 def test_incomplete_version_is_not_read(spark, tmp_path, version):
     (tmp_path / f"version={version}").mkdir()
     assert state_table.read_state(spark, str(tmp_path)).count() == 0
+
+
+def keep(spark, tmp_path, **options):
+    folders = [str(tmp_path / name) for name in ("out", "newest", "kept-checkpoint")]
+    messages = streams.stream_raw(spark, path=str(tmp_path / "raw"), files_per_trigger=None)
+    keep_latest(messages, *folders, once=True, **options).awaitTermination()
+    return accepted_messages(spark, folders[0])
+
+
+def test_batches_keep_the_newest_times_between_them(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    land(spark, raw, record(1, 5), record(2, 7), record(3, 6))
+    assert rows(keep(spark, tmp_path), "seq") == [(1,), (2,)]
+    land(spark, raw, record(4, 7), record(5, None), record(6, None, "other"))
+    land(spark, raw, record(7, 6), record(8, 9))
+    assert rows(keep(spark, tmp_path), "seq") == [(1,), (2,), (4,), (6,), (8,)]
+
+
+def test_an_old_record_passes_after_the_life_time(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    land(spark, raw, record(1, 5))
+    assert rows(keep(spark, tmp_path, ttl_seconds=180, clock=lambda: NOON), "seq") == [(1,)]
+    land(spark, raw, record(2, 4))
+    early = NOON + timedelta(seconds=100)
+    assert rows(keep(spark, tmp_path, ttl_seconds=180, clock=lambda: early), "seq") == [(1,)]
+    land(spark, raw, record(3, 4))
+    late = NOON + timedelta(seconds=181)
+    assert rows(keep(spark, tmp_path, ttl_seconds=180, clock=lambda: late), "seq") == [(1,), (3,)]
+
+
+def test_a_vehicle_with_most_messages_is_cut_into_blocks(spark, tmp_path):
+    """Nine tenths of the messages on one vehicle, all in one trigger, blocks of 50 arrivals."""
+    numbers = range(1, 1001)
+    records = [record(n, (n * 37) % 101 + n // 10, "hot" if n % 10 else f"v{n % 7}") for n in numbers]
+    whole = land(spark, str(tmp_path / "raw"), *records)
+    found = keep(spark, tmp_path, block=50)
+    assert rows(found, "seq") == rows(latest_vehicle_changelog(whole), "seq")
+
+
+def test_a_batch_of_accepted_messages_that_runs_again(spark, tmp_path):
+    folders = [str(tmp_path / name) for name in ("out", "newest")]
+    accept = accept_latest(*folders)
+    first = land(spark, str(tmp_path / "a"), record(1, 5))
+    second = land(spark, str(tmp_path / "b"), record(2, 4), record(3, 6))
+    for batch, number in ((first, 0), (second, 1), (second, 1)):
+        accept(streams.to_messages(batch).select("seq", "value"), number)
+    assert rows(accepted_messages(spark, folders[0]), "seq") == [(1,), (3,)]

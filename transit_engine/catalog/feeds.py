@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from transit_engine.catalog.surrogate import Surrogate, c, padded, text
 from transit_engine.constants import CTA_INACTIVE_ROUTE_MESSAGE
-from transit_engine.session import scratch_path
 from transit_engine.sources.streams import to_messages
 
 # A response holds the events of one hundred consecutive numbers.
 _PER_PAYLOAD = 100
-# Arrivals per message file, and so per trigger of the test streams.
-_PER_FILE = 200_000
 
 
 def _events(s: Surrogate) -> DataFrame:
@@ -142,20 +139,7 @@ def cta_train_payloads(s: Surrogate) -> DataFrame:
     )
 
 
-def land_messages(s: Surrogate, records: DataFrame) -> str:
-    """Message files in arrival order, so that a file stream replays the records as they came.
-
-    One pass sorts the messages into slices of arrivals; each slice then becomes one file, and
-    files are picked up in the order in which they were written.
-    """
-    staged, landed = scratch_path(s.spark, "staged"), scratch_path(s.spark, "landed")
-    messages = to_messages(records).select("seq", "value")
-    messages.withColumn("slice", F.floor(c("seq") / _PER_FILE)).write.partitionBy("slice").parquet(
-        staged
-    )
-    slices = s.spark.read.parquet(staged)
-    last = slices.agg(F.max("slice")).first()[0]
-    for number in range(last + 1):
-        one = slices.where(c("slice") == number).select("seq", "value")
-        one.coalesce(1).write.mode("append").parquet(landed)
+def land_messages(records: DataFrame, landed: str) -> str:
+    """Message files of some records, as many as there are tasks; ``seq`` has the arrival order."""
+    to_messages(records).select("seq", "value").write.mode("append").parquet(landed)
     return landed

@@ -44,9 +44,17 @@ def latest_vehicle_changelog(
 
     Ties are accepted, missing times count as 0. ``ts_ms`` is the time compared.
     """
-    timed = _in_blocks(records, order, block).withColumn(
+    timed = records.withColumn(
         "ts_ms", event_time_ms(F.col("updated_at"), F.col("feed_timestamp"))
     )
+    return accepted_in_order(timed, order, block)
+
+
+def accepted_in_order(
+    records: DataFrame, order: Sequence[str] = ORDER, block: int = BLOCK
+) -> DataFrame:
+    """The changelog of records that have their time as ``ts_ms``."""
+    timed = _in_blocks(records, order, block)
     per_block = timed.groupBy(*_BLOCK_KEY).agg(F.max("ts_ms").alias("_block_ms"))
     earlier = Window.partitionBy(*KEY).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -60,7 +68,7 @@ def latest_vehicle_changelog(
         timed.withColumn("_upto_ms", F.max("ts_ms").over(upto))
         .join(before, _BLOCK_KEY, "left")
         .where(F.col("ts_ms") >= newest)
-        .select(*records.columns, "ts_ms")
+        .select(*records.columns)
     )
 
 

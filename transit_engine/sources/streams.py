@@ -33,16 +33,18 @@ def topic_of(stage: str, city: Column) -> Column:
     return F.concat(F.lit(f"transit.live.{stage}."), city, F.lit(".vehicles"))
 
 
-def _kafka(spark: SparkSession, topics: Sequence[str], servers: str) -> DataFrame:
-    messages = (
+def _kafka(
+    spark: SparkSession, topics: Sequence[str], servers: str, max_offsets: int | None
+) -> DataFrame:
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", MAX_OFFSETS_PER_TRIGGER)
-        .load()
     )
-    return messages.select(
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load().select(
         F.col("offset").alias("seq"), F.col("value").cast("string").alias("value")
     )
 
@@ -60,11 +62,15 @@ def stream_raw(
     servers: str | None = None,
     path: str | None = None,
     files_per_trigger: int | None = 1,
+    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
 ) -> DataFrame:
-    """New messages of the raw topics (``servers``), or of a folder of message files (``path``)."""
+    """New messages of the raw topics (``servers``), or of a folder of message files (``path``).
+
+    None takes all there is with each trigger.
+    """
     if path:
         return _files(spark, path, files_per_trigger)
-    return _kafka(spark, [raw_topic(city) for city in cities], servers)
+    return _kafka(spark, [raw_topic(city) for city in cities], servers, max_offsets)
 
 
 def stream_latest(
@@ -73,11 +79,14 @@ def stream_latest(
     servers: str | None = None,
     path: str | None = None,
     files_per_trigger: int | None = 1,
+    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
 ) -> DataFrame:
     """The accepted messages, as valid records; where to resume is in the query's checkpoint."""
     if path:
         return valid_records(_files(spark, path, files_per_trigger))
-    return valid_records(_kafka(spark, [latest_topic(city) for city in cities], servers))
+    return valid_records(
+        _kafka(spark, [latest_topic(city) for city in cities], servers, max_offsets)
+    )
 
 
 def _parsed(messages: DataFrame) -> DataFrame:

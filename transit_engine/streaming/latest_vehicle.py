@@ -1,15 +1,27 @@
-"""The keyed "latest only" stream: a changelog of accepted records."""
+"""The keyed "latest only" stream: a changelog of accepted records.
+
+Two forms. ``keep_latest`` works on whole micro-batches with DataFrame operations: the batch is cut
+into blocks of arrivals, so that a vehicle with most of the messages fills no task, and a small
+table has the newest time of each vehicle between batches. ``latest_vehicle_stream`` keeps keyed
+state and gives a stream; it holds the times and payloads of one vehicle's part of a batch in
+memory, so it needs a cap on what a trigger takes.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timezone
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from transit_engine.functions.times import event_time_ms, parse_iso_timestamp
+from transit_engine.operators.latest import BLOCK, KEY, accepted_in_order
+from transit_engine.streaming.state_table import read_state, write_version
 
 ACCEPTED = "city string, vehicle_id string, seq long, ts_ms long, value string"
 _STATE = T.StructType([T.StructField("newest_ms", T.LongType())])
@@ -41,6 +53,74 @@ class LatestOnly(StatefulProcessor):
         pass
 
 
+def timed_messages(messages: DataFrame) -> DataFrame:
+    """Messages (seq, value) with their key and the time that is compared."""
+    head = F.from_json("value", _TIMES).alias("head")
+    return messages.select("seq", "value", head).select(
+        "head.city", "head.vehicle_id", "seq",
+        event_time_ms(
+            parse_iso_timestamp(F.col("head.updated_at")),
+            parse_iso_timestamp(F.col("head.feed_timestamp")),
+        ).alias("ts_ms"),
+        "value",
+    )
+
+
+NEWEST = "city string, vehicle_id string, newest_ms long, accepted_at timestamp"
+
+
+def accept_latest(
+    out: str,
+    state: str,
+    ttl_seconds: int | None = None,
+    block: int = BLOCK,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each batch's accepted messages below ``out``.
+
+    What was accepted before counts as one arrival ahead of the batch. Times are forgotten
+    ``ttl_seconds`` after a vehicle's last accepted message; after that an older one passes again.
+    A batch that runs again overwrites what it wrote.
+    """
+
+    def accept(batch: DataFrame, batch_id: int) -> None:
+        spark, now = batch.sparkSession, F.lit(clock())
+        known = read_state(spark, state, before=batch_id, schema=NEWEST)
+        if ttl_seconds is not None:
+            age_us = F.unix_micros(now) - F.unix_micros("accepted_at")
+            known = known.where(age_us < ttl_seconds * 1_000_000)
+        before = known.select(
+            *KEY, F.lit(-1).cast("long").alias("seq"), F.col("newest_ms").alias("ts_ms"),
+            F.lit(None).cast("string").alias("value"),
+        )
+        arrived = timed_messages(batch).select(*before.columns)
+        accepted = accepted_in_order(before.unionByName(arrived), block=block).where("seq >= 0")
+        target = f"{out}/batch={batch_id}"
+        accepted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+        written = spark.read.schema(ACCEPTED).parquet(target)
+        latest = written.groupBy(*KEY).agg(F.max("ts_ms").alias("newest_ms")).withColumn("accepted_at", now)
+        merged = known.unionByName(latest).groupBy(*KEY).agg(
+            F.max("newest_ms").alias("newest_ms"), F.max("accepted_at").alias("accepted_at")
+        )
+        write_version(merged, state, batch_id, "city")
+
+    return accept
+
+
+def keep_latest(
+    messages: DataFrame, out: str, state: str, checkpoint: str, once: bool = False, **options
+) -> StreamingQuery:
+    """Start the query that writes the accepted messages of a stream below ``out``."""
+    writer = messages.writeStream.foreachBatch(accept_latest(out, state, **options)).option(
+        "checkpointLocation", checkpoint
+    )
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def accepted_messages(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(ACCEPTED).parquet(f"{out}/batch=*")
+
+
 def latest_vehicle_stream(messages: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """Messages (seq, value) -> the accepted ones, whole, with their key and compared time.
 
@@ -50,16 +130,7 @@ def latest_vehicle_stream(messages: DataFrame, ttl_seconds: int | None = None) -
     With a life time, a run that should end by itself (``availableNow``) needs
     ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
     """
-    head = F.from_json("value", _TIMES).alias("head")
-    timed = messages.select("seq", "value", head).select(
-        "head.city", "head.vehicle_id", "seq",
-        event_time_ms(
-            parse_iso_timestamp(F.col("head.updated_at")),
-            parse_iso_timestamp(F.col("head.feed_timestamp")),
-        ).alias("ts_ms"),
-        "value",
-    )
-    return timed.groupBy("city", "vehicle_id").transformWithStateInPandas(
+    return timed_messages(messages).groupBy("city", "vehicle_id").transformWithStateInPandas(
         statefulProcessor=LatestOnly(ttl_seconds),
         outputStructType=ACCEPTED,
         outputMode="Append",

@@ -21,6 +21,7 @@ from transit_engine.sources.files import read_dataset
 
 STATE = f"{LIVE_RECORD}, seq long, upserted_at timestamp"
 KEPT_VERSIONS = 3
+COMPLETE = "_complete"
 
 
 def _versions(spark: SparkSession, folder: str) -> list[int]:
@@ -31,16 +32,27 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
         return []
     names = [entry.getPath().getName() for entry in files.listStatus(root)]
     found = [int(name.split("=")[1]) for name in names if name.startswith("version=")]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(v for v in found if files.exists(done(f"{folder}/version={v}/_SUCCESS")))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(v for v in found if files.exists(path(f"{folder}/version={v}/{COMPLETE}")))
 
 
-def read_state(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+def write_version(df: DataFrame, folder: str, version: int, *by: str) -> None:
+    """Write one version; its marker comes last and is our own, as not every committer writes one."""
+    spark, target = df.sparkSession, f"{folder}/version={version}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(target)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{COMPLETE}")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+    _drop_old_versions(spark, folder, version)
+
+
+def read_state(
+    spark: SparkSession, folder: str, before: int | None = None, schema: str = STATE
+) -> DataFrame:
     """The newest version (older than ``before``), or an empty table."""
     versions = [v for v in _versions(spark, folder) if before is None or v < before]
     if not versions:
-        return spark.createDataFrame([], STATE)
-    return read_dataset(spark, folder, f"version={versions[-1]}", STATE)
+        return spark.createDataFrame([], schema)
+    return read_dataset(spark, folder, f"version={versions[-1]}", schema)
 
 
 def _drop_old_versions(spark: SparkSession, folder: str, newest: int) -> None:
@@ -75,13 +87,7 @@ def live_state_upsert(
         merged = merge_state(state, batch.withColumn("upserted_at", now))
         if ttl_seconds is not None:
             merged = unexpired(merged, now, ttl_seconds)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("city")
-            .parquet(f"{folder}/version={batch_id}")
-        )
-        _drop_old_versions(spark, folder, batch_id)
+        write_version(merged, folder, batch_id, "city")
 
     return upsert
 
