@@ -3,8 +3,8 @@
 Weights share a total of words among the sources; a source gives at most ``epochs`` times its own
 words. What is clamped goes back to the others in proportion to their weights, until none is above
 its cap. A source's target becomes whole repetitions of all its documents and one fractional
-repetition: documents in a seeded order as long as they fit, then the one document whose size is
-nearest to what is missing.
+repetition: documents in a seeded order as long as they fit, then a few times the document whose
+size is nearest to what is still missing.
 
 Only DataFrame functions. A source may hold most rows: it is cut into bins of the seeded order, and
 only the bin in which the target falls is ordered row by row.
@@ -21,8 +21,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2
 SEED = 7
-BIN_BITS = 14  # bins of the seeded order of a source
+BIN_BITS = (10, 10)  # the seeded order of a source is cut into bins, the bin of the target again
 ORDER_BITS = 60
+FILLERS = 5  # times that a document of the size nearest to what is missing is added
 
 
 def word_count(column: str = "text") -> Column:
@@ -128,11 +129,11 @@ def mix(
     # Written, so that its size, a row per source, is known when the join is planned.
     cuts = saved(
         targets.join(_cuts(units, targets), "skey", "left").select(
-            "skey", "source_size", "target", "whole", "edge", "filler"
+            "skey", "source_size", "target", "whole", "edge", "fillers"
         ),
         "cuts",
     )
-    extra = (F.col("u") <= F.col("edge")) | (F.col("u") == F.col("filler"))
+    extra = (F.col("u") <= F.col("edge")) | F.array_contains("fillers", F.col("u"))
     repeats = F.col("whole") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
     return named.join(cuts, "skey").select(
         "doc_id", "row", "size", "source_size", "target",
@@ -141,16 +142,27 @@ def mix(
 
 
 def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
-    """skey, edge, filler: the fractional repetition takes what comes up to ``edge`` and ``filler``."""
-    bin_of = F.shiftright("u", ORDER_BITS - BIN_BITS)
-    bins = units.groupBy("skey", bin_of.alias("bin")).agg(F.sum("size").alias("held"))
-    upto = F.sum("held").over(Window.partitionBy("skey").orderBy("bin"))
-    crossing = saved(
-        bins.withColumn("upto", upto).join(targets.select("skey", "part"), "skey")
-        .where((F.col("upto") > F.col("part")) & (F.col("upto") - F.col("held") <= F.col("part")))
-        .select("skey", "bin", "part", (F.col("upto") - F.col("held")).alias("before")),
-        "crossing",
+    """skey, edge, fillers: the fractional repetition takes what comes up to ``edge`` and ``fillers``."""
+    crossing = targets.select(
+        "skey", "part", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("before")
     )
+    done = 0
+    for bits in BIN_BITS:
+        inside = units.withColumn("bin", F.shiftright("u", ORDER_BITS - done)).join(
+            crossing, ["skey", "bin"]
+        )
+        done += bits
+        bins = inside.groupBy(
+            "skey", F.shiftright("u", ORDER_BITS - done).alias("bin"), "part", "before"
+        ).agg(F.sum("size").alias("held"))
+        upto = F.col("before") + F.sum("held").over(Window.partitionBy("skey").orderBy("bin"))
+        crossing = saved(
+            bins.withColumn("upto", upto)
+            .where((F.col("upto") > F.col("part")) & (F.col("upto") - F.col("held") <= F.col("part")))
+            .select("skey", "part", "bin", (F.col("upto") - F.col("held")).alias("before")),
+            "crossing",
+        )
+    bin_of = F.shiftright("u", ORDER_BITS - done)
     running = F.sum("size").over(Window.partitionBy("skey").orderBy("u"))
     inside = (
         units.withColumn("bin", bin_of).join(crossing, ["skey", "bin"])
@@ -160,19 +172,30 @@ def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
     edges = saved(
         crossing.join(inside, "skey", "left").select(
             "skey",
-            F.coalesce(F.col("last"), F.shiftleft(F.col("bin"), ORDER_BITS - BIN_BITS) - 1).alias("edge"),
+            F.coalesce(F.col("last"), F.shiftleft(F.col("bin"), ORDER_BITS - done) - 1).alias("edge"),
             (F.col("part") - F.coalesce(F.col("upto"), F.col("before"))).alias("gap"),
         ),
         "edges",
     )
+    cuts = edges.withColumn("fillers", F.array().cast("array<bigint>"))
     off = F.abs(F.col("size") - F.col("gap"))
-    nearest = (
-        units.join(edges, "skey").where((F.col("u") > F.col("edge")) & (off < F.col("gap")))
-        .groupBy("skey").agg(F.min(F.struct(off.alias("off"), F.col("u"))).alias("best"))
-    )
-    return edges.join(nearest, "skey", "left").select(
-        "skey", "edge", F.col("best.u").alias("filler")
-    )
+    fresh = (F.col("u") > F.col("edge")) & ~F.array_contains("fillers", F.col("u"))
+    for _ in range(FILLERS):
+        nearest = (
+            units.join(cuts, "skey").where(fresh & (off < F.col("gap"))).groupBy("skey")
+            .agg(F.min(F.struct(off.alias("off"), F.col("u"), F.col("size"))).alias("best"))
+        )
+        taken = F.when(F.col("best").isNull(), F.col("fillers")).otherwise(
+            F.concat("fillers", F.array("best.u"))
+        )
+        cuts = saved(
+            cuts.join(nearest, "skey", "left").select(
+                "skey", "edge", (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
+                taken.alias("fillers"),
+            ),
+            "fillers",
+        )
+    return cuts
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
