@@ -46,26 +46,36 @@ WITH d AS (
   SELECT d.*, source_size, target, whole, target - whole * source_size AS part,
          sum(size) OVER (PARTITION BY d.source ORDER BY u) AS upto
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
-), e AS (
-  SELECT source, max(part) - coalesce(max(CASE WHEN upto <= part THEN upto END), 0) AS gap,
+), e0 AS (
+  SELECT source, CAST([] AS BIGINT[]) AS fillers, max(part) - coalesce(max(CASE WHEN upto <= part THEN upto END), 0) AS gap,
          coalesce(max(CASE WHEN upto <= part THEN u END), -1) AS edge
   FROM c WHERE size > 0 GROUP BY source
-), f AS (
-  SELECT source, u AS filler FROM (
-    SELECT c.source, c.u,
-           row_number() OVER (PARTITION BY c.source ORDER BY abs(c.size - e.gap), c.u) AS k
-    FROM c JOIN e ON c.source IS NOT DISTINCT FROM e.source
-    WHERE c.size > 0 AND c.u > e.edge AND abs(c.size - e.gap) < e.gap
-  ) WHERE k = 1
-)
+)@FILLERS@
 SELECT c.doc_id, c.size, c.source_size, c.target,
        CAST(CASE WHEN c.size = 0 THEN 0
-                 ELSE c.size * (c.whole + CASE WHEN c.u <= e.edge OR c.u = f.filler THEN 1 ELSE 0 END)
+                 ELSE c.size * (c.whole + CASE WHEN c.u <= e.edge OR list_contains(e.fillers, c.u) THEN 1 ELSE 0 END)
             END AS BIGINT) AS taken
-FROM c LEFT JOIN e ON c.source IS NOT DISTINCT FROM e.source
-LEFT JOIN f ON c.source IS NOT DISTINCT FROM f.source
+FROM c LEFT JOIN e5 e ON c.source IS NOT DISTINCT FROM e.source
 """
 
+# One more document of the size nearest to what is missing, five times.
+_FILLER = r""", n{k} AS (
+  SELECT source, u, size FROM (
+    SELECT c.source, c.u, c.size,
+           row_number() OVER (PARTITION BY c.source ORDER BY abs(c.size - e.gap), c.u) AS k
+    FROM c JOIN e{before} e ON c.source IS NOT DISTINCT FROM e.source
+    WHERE c.size > 0 AND c.u > e.edge AND NOT list_contains(e.fillers, c.u)
+      AND abs(c.size - e.gap) < e.gap
+  ) WHERE k = 1
+), e{k} AS (
+  SELECT e.source, CASE WHEN n.u IS NULL THEN e.fillers ELSE list_append(e.fillers, n.u) END AS fillers,
+         e.gap - coalesce(n.size, 0) AS gap, e.edge
+  FROM e{before} e LEFT JOIN n{k} n ON e.source IS NOT DISTINCT FROM n.source
+)"""
+SQL["op7_source_mixture"] = SQL["op7_source_mixture"].replace(
+    "@FILLERS@", "".join(_FILLER.format(k=k, before=k - 1) for k in range(1, 6))
+)
+
 # A line is boilerplate if at least 5 sites have it; the sketches only save work.
 SQL["op4_line_dedup"] = r"""
 WITH d AS (
@@ -89,3 +99,77 @@ SELECT doc_id, n_lines, n_removed, CAST(length(clean) AS BIGINT) AS n_chars_left
 FROM g
 """
 
+
+# Spans from the lengths of matches and of what lies between them. There is no look-behind here:
+# runs are matched greedily from their start anyway, and what comes before an identifier is matched
+# and taken off again. ``extra`` is what is measured or taken off.
+_FOUND = r"""
+  SELECT doc_id, {kind} AS kind, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS m,
+         unnest(list_slice(g, 1, len(m))) AS g, unnest(x) AS extra
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g,
+               regexp_extract_all(t, '{pattern}', {group}) AS x FROM d)"""
+_QUOTE = '["\'\']?'
+_PATTERNS = (
+    (rf"(?i)(password|passwd|secret|token|api_?key){_QUOTE}\x20*[:=]\x20*{_QUOTE}([A-Za-z0-9+/_.=-]+)", 2),
+    ("AKIA[A-Z0-9]{12,}", 0),
+    ("[0-9a-f]{32,}", 0),
+    (
+        rf"(?i)(^|[^a-z0-9])(?:client_id|account_id|account|key_id|access_key_id|user_?name|user|login)"
+        rf"{_QUOTE}\x20*[:=]\x20*{_QUOTE}[a-z0-9@._+-]{{3,}}", 1,
+    ),
+    ("[A-Za-z0-9+/=_-]{20,}", 0),
+    (r"""https?://[^\x20\x09-\x0D"''<>]+""", 0),
+)
+SQL["op6_secret_scan"] = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), raw AS ("
+    + " UNION ALL ".join(
+        _FOUND.format(kind=k, pattern=p, group=g) for k, (p, g) in enumerate(_PATTERNS)
+    )
+    + r"""
+), placed AS (
+  SELECT doc_id, kind, m, extra,
+         sum(length(g) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) - length(m) AS s
+  FROM raw
+), spans AS (
+  SELECT doc_id, kind, m, CAST(s + CASE WHEN kind = 3 THEN length(extra) ELSE 0 END AS BIGINT) AS s,
+         CAST(s + length(m) AS BIGINT) AS e,
+         CASE WHEN kind IN (1, 3) THEN 'identifier' WHEN kind = 5 THEN 'endpoint' ELSE 'secret' END AS role
+  FROM placed
+  WHERE (kind <> 0 OR length(extra) >= 8)
+    AND (kind <> 4 OR (regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')))
+), covered AS (
+  SELECT DISTINCT k.doc_id, k.s FROM spans k JOIN spans o
+    ON o.doc_id = k.doc_id AND o.kind <> 4 AND o.s < k.e AND k.s < o.e
+  WHERE k.kind = 4
+), parts AS (
+  SELECT p.* FROM spans p LEFT JOIN covered c ON p.kind = 4 AND c.doc_id = p.doc_id AND c.s = p.s
+  WHERE c.s IS NULL
+), near AS (
+  SELECT p.doc_id, p.kind, p.s, p.e, p.role,
+         max(CASE WHEN o.role = 'identifier' THEN 1 ELSE 0 END) AS i,
+         max(CASE WHEN o.role = 'secret' THEN 1 ELSE 0 END) AS k,
+         max(CASE WHEN o.role = 'endpoint' THEN 1 ELSE 0 END) AS n
+  FROM parts p JOIN parts o ON o.doc_id = p.doc_id AND o.role <> p.role
+    AND p.s - o.e <= 200 AND o.s - p.e <= 200
+  WHERE p.kind >= 3 GROUP BY p.doc_id, p.kind, p.s, p.e, p.role
+), told AS (
+  SELECT doc_id, kind, s, e FROM parts WHERE kind < 3
+  UNION ALL
+  SELECT doc_id, kind, s, e FROM near
+  WHERE CASE role WHEN 'secret' THEN i + n > 0 WHEN 'identifier' THEN k > 0 ELSE i + k = 2 END
+), named AS (
+  SELECT *, list_extract(['assign', 'access', 'hex', 'ident', 'key', 'endpoint'], kind + 1)
+            || ':' || s || ':' || e AS span
+  FROM told
+), per AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+         count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY s, kind, e) FILTER (WHERE kind < 3) AS base,
+         string_agg(span, ',' ORDER BY s, kind, e) AS spans
+  FROM named GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per ON per.doc_id = d.doc_id
+"""
+)
