@@ -229,7 +229,7 @@ def calibrated(model: LanguageModel, texts: list[np.ndarray], truth: list[str])
     best = (np.inf, model.sharpness)
     for sharpness in (1.0, 2.0, 5.0, 10.0, 20.0, 50.0):
         loss = np.log1p(np.exp2(np.clip(-sharpness * gaps, -60, 60)).sum(axis=1) - 1).mean()
-        best = min(best, (loss, sharpness))
+        best = min(best, (round(loss, 3), sharpness))  # the least sharp that is as good
     model.sharpness = best[1]
     return model
 
@@ -237,12 +237,17 @@ def calibrated(model: LanguageModel, texts: list[np.ndarray], truth: list[str])
 def training_rows(docs: DataFrame, per_language: int = MAX_PER_LANGUAGE) -> DataFrame:
     """lang, text, part of at most so many documents of each language, those of the lowest hashes.
 
-    Ids are chosen first, so that no text is sorted; ``part`` 0 is for calibration.
+    Ids are chosen first, so that no text is sorted; ``part`` 0 is for calibration. Of a large
+    language only ids with low hashes, about four times as many as are wanted, are ranked.
     """
+    named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "lang", "doc_id", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("drawn")
+    )
+    counts = saved(named.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    low = F.col("drawn") < F.lit(float(1 << 63)) * (4 * per_language) / F.col("n")
     order = Window.partitionBy("lang").orderBy("drawn", "doc_id")
     ids = (
-        docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .select("lang", "doc_id", F.xxhash64("doc_id").alias("drawn"))
+        named.join(counts, "lang").where(low)
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     )
     chosen = saved(ids.select("lang", "doc_id", (F.col("place") % CALIBRATION).alias("part")), "language-sample")
