@@ -422,6 +422,35 @@ def test_licenses_against_every_part_and_template(spark, texts):
     assert all(rows[10_000 + k]["dice"] == 1 for k in range(len(sets)))
 
 
+LICENSE_LINES = {
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "All rights reserved.": "Proprietary",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+}
+
+
+def test_documents_with_a_license_line_get_their_license(spark):
+    docs = table(spark, SF10, "documents")
+    found = queries.registered()["op9_license_scan"](spark, SF10).join(docs.select("doc_id", "text"), "doc_id")
+    seen = set()
+    for r in found.where(F.lower("text").rlike("licen[sc]e|rights reserved")).collect():
+        held = {name for line, name in LICENSE_LINES.items() if line in r["text"]}
+        assert r["license"] in held
+        seen |= held
+    assert seen == set(LICENSE_LINES.values())
+
+
+@pytest.mark.parametrize("text, name", [
+    ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA-3.0"), ("Licensed under CC BY-ND.", "CC-BY-ND"),
+    ("SPDX-License-Identifier: CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("Released under CC0 1.0.", "CC0-1.0"),
+    ("https://creativecommons.org/licenses/by-sa/2.5/", "CC-BY-SA-2.5"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+     "CC-BY-ND-4.0"),
+])
+def test_short_notices_of_creative_commons(text, name):
+    assert license_scan.Templates().scan(f"Some words.\n{text}\nMore words.")[0] == name
+
+
 def clustered(seed=5, dimension=32):
     """Vectors in groups of all tightnesses, one group much larger, some exact copies."""
     rng = np.random.default_rng(seed)

@@ -1,5 +1,49 @@
 """Licence texts and notices that texts are compared to."""
 
+# Creative Commons licences: elements by abbreviation, versions by jurisdiction. A licence or version
+# left out would be taken for its nearest neighbour, so all are here.
+_CC_ELEMENTS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic", "1.0": "Generic"}
+_CC_SHORT = (
+    "Licensed under {0}.", "Licensed under {0} License.", "Licensed under the {0} License.",
+    "Released under {0}.", "Released under the {0} License.", "Available under {0}.",
+    "Distributed under {0}.", "License: {0}.", "This work is licensed under {0}.",
+    "This work is licensed under the {0} License.", "This work is licensed under a {0} License.",
+    "This content is licensed under {0}.", "Except where otherwise noted, content is licensed under {0}.",
+)
+
+
+def _creative_commons() -> tuple[tuple[str, str], ...]:
+    """The notices of every Creative Commons licence, by abbreviation, by name and by identifier."""
+    made = []
+    for short, long in _CC_ELEMENTS.items():
+        # Without a version, which would else be taken for the first one.
+        titles = (f"CC {short}", f"Creative Commons {long}")
+        made += [(f"CC-{short}", form.format(title)) for title in titles for form in _CC_SHORT]
+        for version, where in _CC_VERSIONS.items():
+            name = f"CC-{short}-{version}"
+            titles = (
+                f"CC {short} {version}", f"Creative Commons {long} {version}",
+                f"Creative Commons {long} {version} {where}",
+            )
+            made += [(name, form.format(title)) for title in titles for form in _CC_SHORT]
+            made += [
+                (name, f"SPDX-License-Identifier: {name}"),
+                (name, f"https://creativecommons.org/licenses/{short.lower()}/{version}/"),
+            ]
+    zero = ("CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0", "Creative Commons CC0 1.0 Universal")
+    made += [("CC0-1.0", form.format(title)) for title in zero for form in _CC_SHORT]
+    made += [
+        ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+        ("CC0-1.0", "https://creativecommons.org/publicdomain/zero/1.0/"),
+    ]
+    return tuple(made)
+
+
 # Public licence texts and the usual notices, by identifier.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this
@@ -91,11 +135,6 @@ received a copy of the GNU General Public License along with this program."""),
 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
 https://mozilla.org/MPL/2.0/."""),
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0
-International License."""),
-    ("CC-BY-NC-4.0", """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0
-International License."""),
     ("CC0-1.0", """To the extent possible under law, the author has waived all copyright and related
 or neighboring rights to this work."""),
     ("Unlicense", """This is free and unencumbered software released into the public domain. Anyone is
@@ -106,4 +145,4 @@ event will the authors be held liable for any damages arising from the use of th
 Permission is granted to anyone to use this software for any purpose, including commercial
 applications, and to alter it and redistribute it freely, subject to the following restrictions:"""),
     ("Proprietary", "Copyright. All rights reserved."),
-)
+) + _creative_commons()
