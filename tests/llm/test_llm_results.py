@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -451,6 +452,60 @@ def test_short_notices_of_creative_commons(text, name):
     assert license_scan.Templates().scan(f"Some words.\n{text}\nMore words.")[0] == name
 
 
+def prose(rng, n):
+    """Sentences of made-up words, some of them on lines and in paragraphs of their own."""
+    made = [" ".join(f"w{k}" for k in rng.integers(0, 500, int(rng.integers(4, 15)))) + "." for _ in range(n)]
+    return "".join(t + str(rng.choice([" ", "\n", "\n\n"])) for t in made)
+
+
+def laid_out(text, how):
+    """A licence in its usual layout: one sentence a paragraph, wrapped lines, or among other sentences."""
+    sentences = re.split(r"(?<=[.:;]) ", " ".join(text.split()))
+    if how == "paragraphs":
+        return "\n\n" + "\n\n".join(sentences) + "\n\n"
+    if how == "wrapped":
+        return "\n\n" + "\n".join(textwrap.wrap(" ".join(sentences), 72)) + "\n\n"
+    return " " + " ".join(sentences) + " "
+
+
+@pytest.mark.parametrize("how", ["paragraphs", "wrapped", "one line"])
+def test_licenses_in_their_layout_inside_long_documents(how):
+    rng, known = np.random.default_rng(11), license_scan.Templates()
+    long = [(name, text) for name, text in license_scan.TEMPLATES if len(text) > 300]
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "LGPL-2.1", "AGPL-3.0"} <= {n for n, _ in long}
+    for name, text in long:
+        found, dice, matches = known.scan(prose(rng, 60) + laid_out(text, how) + prose(rng, 60))
+        # A notice that ends in a colon takes the next sentence with it.
+        assert (found, dice > (0.9 if how == "one line" else 0.97)) == (name, True), (name, text[:80])
+        assert matches >= 1
+    name, text = long[0]
+    both = laid_out(text, "paragraphs") + prose(rng, 20)
+    assert known.scan(prose(rng, 20) + both + both) == (name, 1.0, 2)
+
+
+def test_license_runs_against_all_runs():
+    rng = np.random.default_rng(12)
+    own = [("A", "a b c d e f g h i j"), ("B", "a b c d e k l m n o p q"), ("C", "q r s"), ("D", "r s t u v w x y z")]
+    known, matched = license_scan.Templates(own), 0
+    for _ in range(800):
+        words = []
+        for _ in range(int(rng.integers(1, 6))):
+            kept = [w for w in own[int(rng.integers(0, 4))][1].split() if rng.random() > 0.08]
+            words += kept + [f"x{k}" for k in rng.integers(0, 9, int(rng.integers(0, 5)))]
+        text = "".join(w + str(rng.choice([" ", ". ", "\n", "\n\n"], p=[0.6, 0.2, 0.1, 0.1])) for w in words)
+        units, bounds, _ = license_scan._layout(text)
+        runs = [
+            license_scan._bigrams(units[bounds[i]:bounds[j]])
+            for i in range(len(bounds)) for j in range(i + 1, len(bounds))
+        ]
+        sets = [(name, license_scan._bigrams(t.split())) for name, t in own]
+        hits = [(-license_scan.dice(r, s), name) for r in runs for name, s in sets]
+        want = min((h for h in hits if -h[0] >= license_scan.MIN_DICE), default=(0.0, None))
+        assert known.scan(text)[:2] == (want[1], -want[0])
+        matched += want[1] is not None
+    assert 100 < matched
+
+
 def clustered(seed=5, dimension=32):
     """Vectors in groups of all tightnesses, one group much larger, some exact copies."""
     rng = np.random.default_rng(seed)

@@ -1,16 +1,21 @@
 """Licence scans: parts of a text against licence templates by the Dice coefficient.
 
-A text is looked at as a whole, by paragraphs, by lines and by sentences. Each part becomes a set
-of bigrams of normalised words. A template can only reach the wanted coefficient if its number of
-bigrams lies within a factor of the part's, so candidates are taken from a table by size; parts
-that share no bigram with any template are left at once.
+A text is looked at as a whole, by paragraphs, by lines, by sentences and by runs of neighbouring
+sentences, whatever lines or paragraphs they belong to. Each becomes a set of bigrams of normalised
+words. A template can only reach the wanted coefficient if two thirds of the bigrams of both are
+shared, so runs are only looked at for the templates that the text as a whole shares so much with,
+and only as far as one can still come near enough.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -32,70 +37,153 @@ def dice(a: set, b: set) -> float:
 
 
 class Templates:
-    """Bigram sets by size."""
+    """Bigram sets by size, and the templates that each bigram is in."""
 
     def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES, min_dice: float = MIN_DICE):
         self.min_dice = min_dice
         self.sets = [(name, _bigrams(words_of(text))) for name, text in templates]
-        self.all = frozenset().union(*[s for _, s in self.sets]) if self.sets else frozenset()
-        # Dice reaches d only where min(m, n) / max(m, n) >= d / (2 - d).
-        # The ratio is taken a little lower, as it is divided and multiplied by.
+        self.index: dict[tuple[str, str], list[int]] = {}
+        for k, (_, own) in enumerate(self.sets):
+            for bigram in own:
+                self.index.setdefault(bigram, []).append(k)
+        # Dice reaches d only where min(m, n) / max(m, n) >= d / (2 - d), and only if as large a share
+        # of either set is in both. The ratio is taken a little lower, as it is divided and multiplied by.
         self.ratio = min_dice / (2 - min_dice) - 1e-9
         self.smallest = min((len(s) for _, s in self.sets), default=0) * self.ratio
-        self.largest = max((len(s) for _, s in self.sets), default=0) / self.ratio
 
     def best(self, bigrams: set) -> tuple[float, str] | None:
         """The closest template that reaches the wanted coefficient; ties go to the first name."""
         n, found = len(bigrams), None
-        for name, own in self.sets:
-            if not n * self.ratio <= len(own) <= n / self.ratio:
-                continue
-            d = dice(bigrams, own)
+        inside = [b for b in bigrams if b in self.index]
+        if len(inside) < n * self.ratio:
+            return None
+        for k, shared in self._shared(inside).items():
+            name, own = self.sets[k]
+            d = 2 * shared / (n + len(own))
             if d >= self.min_dice and (found is None or (-d, name) < (-found[0], found[1])):
                 found = (d, name)
         return found
 
     def scan(self, text: str | None) -> tuple[str | None, float, int]:
-        """Name and coefficient of the closest template, and the number of parts that match one."""
-        best, matches = None, 0
-        for words in _parts(text or ""):
-            if not self.smallest <= len(words) - 1:
-                continue
-            if self.all.isdisjoint(zip(words, words[1:])):
-                continue
-            bigrams = _bigrams(words)
-            if not self.smallest <= len(bigrams) <= self.largest:
+        """Name and coefficient of the closest template, and the number of places that match one."""
+        words, bounds, spans = _layout(text or "")
+        pairs = list(zip(words, words[1:]))
+        known = [p for p, pair in enumerate(pairs) if pair in self.index]
+        if not known or len(known) < self.smallest:
+            return None, 0.0, 0
+        found, parts = [], []
+        for i, j in spans:
+            first, last = bounds[i], bounds[j] - 1
+            if bisect_left(known, last) - bisect_left(known, first) < max(self.smallest, 1):
                 continue
-            if found := self.best(bigrams):
+            if best := self.best(set(pairs[first:last])):
+                found.append(best)
+                parts.append((i, j))
+        runs = self._runs(pairs, known, bounds)
+        taken = np.zeros(len(bounds), bool)
+        for i, j in parts:
+            taken[i:j] = True
+        matches = len(parts)
+        for d, name, i, j in sorted(runs, key=lambda r: (-r[0], *r[1:])):
+            found.append((d, name))
+            if not taken[i:j].any():
+                taken[i:j] = True
                 matches += 1
-                if best is None or (-found[0], found[1]) < (-best[0], best[1]):
-                    best = found
-        return (best[1], best[0], matches) if best else (None, 0.0, 0)
+        if not found:
+            return None, 0.0, 0
+        d, name = min(found, key=lambda f: (-f[0], f[1]))
+        return name, d, matches
+
+    def _shared(self, bigrams: Iterable) -> Counter:
+        """How many of the bigrams each template has."""
+        return Counter(chain.from_iterable(map(self.index.__getitem__, bigrams)))
+
+    def _runs(
+        self, pairs: list, known: list[int], bounds: list[int]
+    ) -> Iterator[tuple[float, str, int, int]]:
+        """Per template and first sentence, the run of sentences closest to the template, if near enough.
+
+        A run begins with a sentence that shares a bigram with the template, as without another one
+        it comes closer.
+        """
+        shared = self._shared({pairs[p] for p in known})
+        near = [k for k, h in shared.items() if h >= len(self.sets[k][1]) * self.ratio]
+        if not near:
+            return
+        previous, seen = np.empty(len(pairs), np.int64), {}
+        for p, pair in enumerate(pairs):
+            previous[p] = seen.get(pair, -1)
+            seen[pair] = p
+        at = np.array(bounds)
+        for k in near:
+            name, own = self.sets[k]
+            m = len(own)
+            hits = [p for p in known if pairs[p] in own]
+            mine = np.zeros(len(pairs), bool)
+            mine[hits] = True
+            lasts = np.array(sorted({pairs[p]: p for p in hits}.values()))
+            for i in np.unique(np.searchsorted(at, hits, "right") - 1).tolist():
+                start = bounds[i]
+                reach = len(lasts) - int(np.searchsorted(lasts, start))  # shared ones from here on
+                # More bigrams than these that the template has not, and no run from here is near.
+                spare = reach * (2 / self.min_dice - 1) - m + 1e-6
+                if spare < 0:
+                    continue
+                size = 2 * m
+                while True:
+                    stop = bounds[min(int(np.searchsorted(at, start + size + 1)), len(at) - 1)] - 1
+                    fresh = previous[start:stop] < start
+                    n, h = np.cumsum(fresh), np.cumsum(fresh & mine[start:stop])
+                    if stop == len(pairs) or h[-1] == reach or n[-1] - h[-1] > spare:
+                        break
+                    size *= 2
+                ends = at[i + 1:] - 1 - start
+                ends = ends[(ends > 0) & (ends <= len(n))]
+                if len(ends):
+                    d = 2 * h[ends - 1] / (n[ends - 1] + m)
+                    e = int(d.argmax())
+                    if d[e] >= self.min_dice:
+                        j = int(np.searchsorted(at, start + ends[e] + 1))
+                        yield float(d[e]), name, i, j
 
 
 def _bigrams(words: list[str]) -> set:
     return set(zip(words, words[1:]))
 
 
-def _parts(text: str) -> Iterator[list[str]]:
-    """Words of the text, its paragraphs, lines and sentences; each part once."""
+def _layout(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
+    """Words, where each sentence begins among them (and the end), and the parts as ranges of sentences.
+
+    Parts are the sentences, lines and paragraphs and the whole; each once.
+    """
+    words: list[str] = []
+    bounds, spans = [0], []
     paragraphs = _PARAGRAPH.split(text)
-    whole: list[str] = []
     for paragraph in paragraphs:
+        before = len(bounds) - 1
         lines = paragraph.split("\n")
-        joined: list[str] = []
         for line in lines:
-            sentences = [words_of(s) for s in _SENTENCE.split(line)]
-            yield from sentences
-            words = [w for s in sentences for w in s]
+            first = len(bounds) - 1
+            sentences = _SENTENCE.split(line)
+            for sentence in sentences:
+                if found := words_of(sentence):
+                    words += found
+                    spans.append((len(bounds) - 1, len(bounds)))
+                    bounds.append(len(words))
             if len(sentences) > 1:
-                yield words
-            joined += words
+                spans.append((first, len(bounds) - 1))
         if len(lines) > 1:
-            yield joined
-        whole += joined
+            spans.append((before, len(bounds) - 1))
     if len(paragraphs) > 1:
-        yield whole
+        spans.append((0, len(bounds) - 1))
+    return words, bounds, spans
+
+
+def _parts(text: str) -> Iterator[list[str]]:
+    """Words of the text, its paragraphs, lines and sentences; each part once."""
+    words, bounds, spans = _layout(text)
+    for i, j in spans:
+        yield words[bounds[i]:bounds[j]]
 
 
 def licenses(
@@ -104,8 +192,8 @@ def licenses(
     """doc_id, license, dice, n_matches: one row per row of ``docs``.
 
     ``license`` is the closest template's name, null where no part of the text reaches ``min_dice``
-    (null and empty texts, texts without words); ``n_matches`` counts the parts that do. Repeated
-    rows are alike. Other columns are not looked at.
+    (null and empty texts, texts without words); ``n_matches`` counts the parts that do, and the closest
+    runs that overlap neither them nor each other. Repeated rows are alike. Other columns are not looked at.
     """
     known = Templates(templates, min_dice)
 

@@ -1,4 +1,10 @@
-"""Licence texts and notices that texts are compared to."""
+"""Licence texts and notices that texts are compared to.
+
+The long ones are the files of ``licenses/``. That of AGPL-3.0 is the text of GPL-3.0 with what
+differs put in by hand.
+"""
+
+from importlib.resources import files
 
 # Creative Commons licences: elements by abbreviation, versions by jurisdiction. A licence or version
 # left out would be taken for its nearest neighbour, so all are here.
@@ -44,6 +50,41 @@ def _creative_commons() -> tuple[tuple[str, str], ...]:
     return tuple(made)
 
 
+_GNU = {"GPL": "", "LGPL": "Lesser ", "AGPL": "Affero "}
+_GNU_VERSIONS = (
+    ("GPL", "2.0", "2"), ("GPL", "3.0", "3"), ("LGPL", "2.1", "2.1"), ("LGPL", "3.0", "3"), ("AGPL", "3.0", "3"),
+)
+
+
+def _gnu() -> tuple[tuple[str, str], ...]:
+    """The notices of the GNU licences, which differ in few words, and their identifiers."""
+    made = []
+    for short, version, number in _GNU_VERSIONS:
+        name, title = f"{short}-{version}", f"GNU {_GNU[short]}General Public License"
+        for work in ("program", "library", "software"):
+            notice = f"""This {work} is free software: you can redistribute it and/or modify it under the
+terms of the {title} as published by the Free Software Foundation, either version {number} of the
+License, or (at your option) any later version. This {work} is distributed in the hope that it will be
+useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE. See the {title} for more details."""
+            had = f" You should have received a copy of the {title} along with this {work}."
+            made += [(name, notice), (name, notice + had)]
+        made += [
+            (name, f"SPDX-License-Identifier: {name}{which}") for which in ("", "-only", "-or-later")
+        ]
+        made.append((name, f"This work is licensed under the {title}, version {number}."))
+    return tuple(made)
+
+
+def _long() -> tuple[tuple[str, str], ...]:
+    """The licences of ``licenses/`` in full, on one line each."""
+    found = sorted((f for f in files(__package__).joinpath("licenses").iterdir()), key=lambda f: f.name)
+    return tuple(
+        (f.name.removesuffix(".txt"), " ".join(f.read_text("utf-8").split())) for f in found
+        if f.name.endswith(".txt")
+    )
+
+
 # Public licence texts and the usual notices, by identifier.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this
@@ -145,4 +186,4 @@ event will the authors be held liable for any damages arising from the use of th
 Permission is granted to anyone to use this software for any purpose, including commercial
 applications, and to alter it and redistribute it freely, subject to the following restrictions:"""),
     ("Proprietary", "Copyright. All rights reserved."),
-) + _creative_commons()
+) + _creative_commons() + _gnu() + _long()
