@@ -345,6 +345,25 @@ def test_mix_comes_near_its_targets(spark):
     assert sum(targets.values()) == pytest.approx(1.5 * total)
 
 
+@pytest.mark.parametrize("places", [(0,), (700,), (1900,), (3, 900, 901, 1500)])
+def test_mix_with_a_few_very_long_documents(spark, places):
+    def order(i, text):
+        return int(hashlib.md5(f"7:{i}:{text}".encode()).hexdigest()[:15], 16)
+
+    short, long = "w " * 20, "w " * 40_000
+    by_order = sorted(range(2000), key=lambda i: order(i, short))
+    # Ids of long documents whose order lies behind as many short ones as wanted.
+    edges = [order(by_order[p], short) for p in places]
+    spots = [next(i for i in range(10_000, 10**7) if abs(order(i, long) - e) < 2**60 // 400) for e in edges]
+    rows = [(i, short, "a") for i in range(2000)] + [(i, long, "a") for i in dict.fromkeys(spots)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    total = sum(len(t) // 2 for _, t, _ in rows)
+    found = mixing.mix(docs, share=35_010 / total).collect()
+    taken, target = sum(r["size"] * r["repeats"] for r in found), found[0]["target"]
+    assert target == pytest.approx(35_010)
+    assert abs(taken - target) <= 20
+
+
 def slow_levels(sizes, weights, total, epochs):
     """Water-filling by halving the interval of the level."""
     low, high = 0.0, 1e12

@@ -4,7 +4,8 @@ Weights share a total of words among the sources; a source gives at most ``epoch
 words. What is clamped goes back to the others in proportion to their weights, until none is above
 its cap. A source's target becomes whole repetitions of all its documents and one fractional
 repetition: documents in a seeded order as long as they fit, then a few times the document whose
-size is nearest to what is still missing.
+size is nearest to what is still missing. Where that stays far from the target, because of documents
+much longer than the others, the order is gone on with behind each document that doesn't fit.
 
 Only DataFrame functions. A source may hold most rows: it is cut into bins of the seeded order, and
 only the bin in which the target falls is ordered row by row.
@@ -24,6 +25,8 @@ SEED = 7
 BIN_BITS = (10, 10)  # the seeded order of a source is cut into bins, the bin of the target again
 ORDER_BITS = 60
 FILLERS = 5  # times that a document of the size nearest to what is missing is added
+NEAR = 0.05  # a source that misses more of its target sets aside documents one by one instead
+RANGES = "array<struct<after:bigint,upto:bigint,limit:double>>"
 
 
 def word_count(column: str = "text") -> Column:
@@ -123,17 +126,19 @@ def mix(
         "targets",
     )
     units = saved(
-        sizes.where(F.col("size") > 0).groupBy("skey", "u").agg(F.sum("size").alias("size")),
+        sizes.where(F.col("size") > 0).groupBy("skey", "u").agg(
+            F.sum("size").alias("size"), F.max("size").alias("each")
+        ),
         "mix-units",
     )
     # Written, so that its size, a row per source, is known when the join is planned.
     cuts = saved(
         targets.join(_cuts(units, targets), "skey", "left").select(
-            "skey", "source_size", "target", "whole", "edge", "fillers"
+            "skey", "source_size", "target", "whole", "edge", "fillers", "ranges"
         ),
         "cuts",
     )
-    extra = (F.col("u") <= F.col("edge")) | F.array_contains("fillers", F.col("u"))
+    extra = (F.col("u") <= F.col("edge")) | F.array_contains("fillers", F.col("u")) | _within("size")
     repeats = F.col("whole") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
     return named.join(cuts, "skey").select(
         "doc_id", "row", "size", "source_size", "target",
@@ -141,8 +146,11 @@ def mix(
     )
 
 
-def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
-    """skey, edge, fillers: the fractional repetition takes what comes up to ``edge`` and ``fillers``."""
+def _prefix(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """skey, part, edge, gap: documents up to ``edge`` fit into ``part``, the next one doesn't.
+
+    Sources whose documents all fit are left out.
+    """
     crossing = targets.select(
         "skey", "part", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("before")
     )
@@ -169,14 +177,23 @@ def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
         .withColumn("upto", F.col("before") + running).where(F.col("upto") <= F.col("part"))
         .groupBy("skey").agg(F.max("u").alias("last"), F.max("upto").alias("upto"))
     )
-    edges = saved(
+    return saved(
         crossing.join(inside, "skey", "left").select(
-            "skey",
+            "skey", "part",
             F.coalesce(F.col("last"), F.shiftleft(F.col("bin"), ORDER_BITS - done) - 1).alias("edge"),
             (F.col("part") - F.coalesce(F.col("upto"), F.col("before"))).alias("gap"),
         ),
         "edges",
     )
+
+
+def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """skey, edge, fillers, ranges: what the fractional repetition takes.
+
+    That is what comes up to ``edge``, or in sources with ``ranges`` what lies in one of them, and
+    ``fillers``.
+    """
+    edges = _prefix(units, targets)
     cuts = edges.withColumn("fillers", F.array().cast("array<bigint>"))
     off = F.abs(F.col("size") - F.col("gap"))
     fresh = (F.col("u") > F.col("edge")) & ~F.array_contains("fillers", F.col("u"))
@@ -195,7 +212,89 @@ def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
             ),
             "fillers",
         )
-    return cuts
+    missed = F.abs(F.col("gap")) > F.col("target") * F.lit(NEAR)
+    far = saved(
+        cuts.join(targets.select("skey", "target", "part"), "skey").where(missed)
+        .select("skey", "part", F.abs(F.col("gap")).alias("off")),
+        "far",
+    )
+    cuts = cuts.select("skey", "edge", "fillers", F.array().cast(RANGES).alias("ranges"))
+    if far.isEmpty():
+        return cuts
+    nearer = _ranges(units, far)
+    return cuts.join(nearer, "skey", "left_anti").unionByName(nearer)
+
+
+def _ranges(units: DataFrame, far: DataFrame) -> DataFrame:
+    """The cuts of sources that come nearer when documents that don't fit are set aside one by one.
+
+    Each round goes on behind the document that didn't fit, with those not larger than what is
+    missing, until none of them is left; one of the size nearest to the rest may come last.
+    """
+    start = F.lit(-1).cast("long")
+    state = saved(
+        far.select("skey", "part", start.alias("after"), F.col("part").alias("gap"),
+                   F.array().cast(RANGES).alias("ranges")),
+        "ranges",
+    )
+    top = (1 << ORDER_BITS) - 1
+    while True:
+        fits = (F.col("u") > F.col("after")) & (F.col("each") <= F.col("gap"))
+        left = saved(
+            units.join(state.select("skey", "after", "gap"), "skey").where(fits)
+            .select("skey", "u", "size", "each"),
+            "left",
+        )
+        if left.isEmpty():
+            break
+        held = left.groupBy("skey").agg(F.sum("size").alias("held"))
+        reached = _prefix(left, state.select("skey", F.col("gap").alias("part")))
+        # What comes behind the edge didn't fit; where nothing did not, all is taken.
+        blocks = left.join(reached, "skey").where(F.col("u") > F.col("edge")).groupBy("skey").agg(
+            F.min("u").alias("block")
+        )
+        found = (
+            state.join(held, "skey", "left").join(
+                reached.select("skey", "edge", F.col("gap").alias("rest")), "skey", "left"
+            ).join(blocks, "skey", "left")
+        )
+        gone = F.col("held").isNotNull()
+        one = F.struct(
+            F.col("after"), F.coalesce("edge", F.lit(top)).alias("upto"), F.col("gap").alias("limit")
+        )
+        state = saved(
+            found.select(
+                "skey", "part",
+                F.when(gone, F.coalesce("block", F.lit(top))).otherwise(F.col("after")).alias("after"),
+                F.when(gone, F.coalesce("rest", F.col("gap") - F.col("held"))).otherwise(F.col("gap"))
+                .alias("gap"),
+                F.when(gone, F.concat("ranges", F.array(one))).otherwise(F.col("ranges")).alias("ranges"),
+            ),
+            "ranges",
+        )
+    off = F.abs(F.col("size") - F.col("gap"))
+    last = (
+        units.join(state, "skey").where(~_within("each") & (off < F.col("gap"))).groupBy("skey")
+        .agg(F.min(F.struct(off.alias("off"), F.col("u"))).alias("best"))
+    )
+    rest = F.coalesce("best.off", F.col("gap"))
+    none = F.array().cast("array<bigint>")
+    return saved(
+        state.join(last, "skey", "left").join(far.select("skey", "off"), "skey").where(rest < F.col("off"))
+        .select(
+            "skey", start.alias("edge"),
+            F.when(F.col("best").isNull(), none).otherwise(F.array("best.u")).alias("fillers"), "ranges",
+        ),
+        "nearer",
+    )
+
+
+def _within(size: str) -> Column:
+    """Whether a document lies in one of the ranges of its source."""
+    return F.exists(
+        "ranges",
+        lambda r: (F.col("u") > r["after"]) & (F.col("u") <= r["upto"]) & (F.col(size) <= r["limit"]),
+    )
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
