@@ -1,10 +1,14 @@
 """Nothing is dropped without a word: limits, categories, headers, empty cities, scratch folders."""
 
+import shutil
+
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from transit_engine import session
+from transit_engine.catalog import surrogate
 from transit_engine.functions.times import parse_iso_timestamp
 from transit_engine.operators import activity, presentation, serving
 from transit_engine.operators.keyed import best_per_key
@@ -136,3 +140,20 @@ def test_one_city_reads_only_its_folders(spark, tmp_path):
     read = read_dataset(spark, str(tmp_path), "d", "city string, n int").where(F.col("city") == "b")
     assert "PartitionFilters: [isnotnull(city" in plan(read)
     assert rows(read, "city", "n") == [("b", 1)]
+
+
+def test_written_tables_follow_tables_replaced_in_a_session(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for table in surrogate._SCHEMAS:
+        shutil.copyfile(f"{source}/{table}.parquet", tmp_path / f"{table}.parquet")
+
+    def told():
+        tables = surrogate.Surrogate(spark, str(tmp_path))
+        return rows(tables.written.stop_activity), rows(tables.stop_activity), len(surrogate._BUILT)
+
+    first = told()
+    assert first[0] == first[1] and told() == first
+    half = pq.read_table(f"{source}/lineitem.parquet")
+    pq.write_table(half.slice(0, half.num_rows // 2), tmp_path / "lineitem.parquet")
+    again = told()
+    assert again[0] == again[1] != first[1]
