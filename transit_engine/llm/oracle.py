@@ -173,3 +173,43 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN per ON per.doc_id = d.doc_id
 """
 )
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Each round assigns all vectors (a0, a1, ...) and makes the centroids of the next one."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT row_no, arg_min(k, s * 100 + k) AS cluster, min(s) AS distance
+  FROM (SELECT v.row_no, c.k, CAST(list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS BIGINT) AS s
+        FROM v, c{r} c)
+  GROUP BY row_no
+)""")
+        parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY i) AS x
+    FROM (SELECT a.cluster, i, CAST(sum(v.x[i]) AS BIGINT) AS total, count(*) AS n
+          FROM a{r} a JOIN v USING (row_no), range(1, 65) AS t(i) GROUP BY a.cluster, i)
+    GROUP BY cluster
+  ) m ON m.cluster = c.k
+)""")
+    return ",\n".join(parts[:-1])
+
+
+SQL["op11_centroid_clusters"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, x, row_number() OVER () AS row_no
+  FROM (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64)
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY drawn NULLS LAST, x) - 1 AS k, x
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS drawn, x FROM v ORDER BY drawn NULLS LAST, x LIMIT 8)
+), {_centroid_rounds(10)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(list_transform(c10.x, lambda e: CAST(e AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM a10 JOIN v USING (row_no) JOIN c10 ON c10.k = cluster
+"""

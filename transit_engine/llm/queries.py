@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from transit_engine.llm import (
     bpe,
+    centroid_clusters,
     embedding_dedup,
     exact_dedup,
     language_id,
@@ -121,3 +122,8 @@ def op9_license_scan(spark, sf_dir):
 @query
 def op10_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_centroid_clusters(spark, sf_dir):
+    return centroid_clusters.described(centroid_clusters.clustered(table(spark, sf_dir, "embeddings")))
