@@ -18,11 +18,12 @@ from transit_engine.llm import (
     line_dedup,
     mixing,
     oracle,
+    periodic_runs,
     quality,
     secret_scan,
     simhash,
 )
-from transit_engine.llm.common import table
+from transit_engine.llm.common import WORD, table, text_of
 from transit_engine.session import configure
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,38 @@ def op10_embedding_dedup(spark, sf_dir):
 @query
 def op11_centroid_clusters(spark, sf_dir):
     return centroid_clusters.described(centroid_clusters.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def with_planted_runs(docs):
+    """Every tenth document by hash of its id repeats words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(text_of(), F.lit(WORD), F.lit(0))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    begin = (g % F.col("n")).cast("int")
+    period = (1 + F.floor((F.col("n") - F.col("begin")) / (3 + g % 8))).cast("int")
+    said = F.transform("words", lambda word, i: F.when(i < F.col("begin"), word).otherwise(
+        F.get("words", F.col("begin") + (i - F.col("begin")) % F.col("period"))
+    ))
+    hit = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, words)
+    ).withColumn("n", F.when(n > 0, n))
+    placed = hit.withColumn("begin", begin).withColumn("period", period)
+    return placed.select("doc_id", F.coalesce(F.array_join(F.when(F.col("n") > 0, said), " "), "text").alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # The longest; of a tie the first start, then the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")
+    )))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    period = -F.col("best.period")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), period.alias("period"),
+        F.floor(1000 * F.col("best.length") / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
