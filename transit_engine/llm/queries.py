@@ -22,6 +22,7 @@ from transit_engine.llm import (
     quality,
     secret_scan,
     simhash,
+    suffix_dedup,
 )
 from transit_engine.llm.common import WORD, table, text_of
 from transit_engine.session import configure
@@ -163,3 +164,13 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
