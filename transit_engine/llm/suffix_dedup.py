@@ -313,14 +313,14 @@ def _piece_marks(bodies: DataFrame, min_bytes: int, crowd: int) -> DataFrame:
 def repeats(texts: DataFrame, min_bytes: int = MIN_BYTES, crowd: int = CROWD) -> DataFrame:
     """k1, k2 and the set of ``spans`` (begin, end) to be removed, for texts that have any."""
     found = saved(places(texts, min_bytes), "suffix-places")
-    shared = found.groupBy("h").agg(
+    counted = found.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"),
         *[f(p).alias(f"{f.__name__}_{p}") for f in (F.min, F.max) for p in PIECE],
     ).where("n > 1")
     alike = (F.col("min_p1") == F.col("max_p1")) & (F.col("min_p2") == F.col("max_p2"))
-    hits = saved(
-        found.join(shared.select("h", (~alike).alias("mixed")), "h"), "suffix-hits"
-    )
+    # Written before it is joined: a join right above an aggregate can't split a hot hash.
+    shared = saved(counted.select("h", (~alike).alias("mixed")), "suffix-shared")
+    hits = saved(found.join(shared, "h"), "suffix-hits")
     mixed = hits.where("mixed")
     distinct = saved(
         mixed.groupBy("h", *PIECE).agg(
@@ -329,7 +329,8 @@ def repeats(texts: DataFrame, min_bytes: int = MIN_BYTES, crowd: int = CROWD) ->
         ),
         "suffix-distinct",
     )
-    wanted = distinct.join(_open_groups(distinct.withColumnRenamed("h", "g")).select(F.col("g").alias("h")), "h")
+    unsettled = saved(_open_groups(distinct.withColumnRenamed("h", "g")), "suffix-unsettled")
+    wanted = distinct.join(unsettled.select(F.col("g").alias("h")), "h")
     bodies = saved(_bodies(texts, wanted, min_bytes), "suffix-bodies")
     marks = _piece_marks(bodies, min_bytes, crowd)
     whole = distinct.where("whole").select(
