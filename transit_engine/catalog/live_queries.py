@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -216,10 +217,27 @@ def stream_sink_raw(s: Surrogate) -> DataFrame:
 
 @query
 def stream_sink_latest(s: Surrogate) -> DataFrame:
-    accepted = latest_vehicle.latest_vehicle_stream(_raw_messages(s))
+    """Accepted by micro-batch, which no vehicle's number of messages matters to, and sent on."""
+    out, state, checkpoint = (
+        scratch_path(s.spark, f"sink-{name}") for name in ("accepted", "newest", "newest-checkpoint")
+    )
+    latest_vehicle.keep_latest(_raw_messages(s), out, state, checkpoint, once=True).awaitTermination()
+    accepted = s.spark.readStream.schema(latest_vehicle.ACCEPTED).parquet(f"{out}/batch=*")
     return _written_messages(s, sink_latest, accepted, "sink_latest")
 
 
+@query
+def keyed_latest_stream(s: Surrogate) -> DataFrame:
+    """Keyed state over times only; the messages are put back by arrival and vehicle."""
+    narrow = latest_vehicle.latest_vehicle_stream(_raw_messages(s), payload=False)
+    accepted = _run_to_files(s, narrow, "keyed_latest")
+    landed = feeds.land_messages(s.live, scratch_path(s.spark, "landed"))
+    messages = s.spark.read.schema(streams.MESSAGE).parquet(landed)
+    return latest_vehicle.with_payload(accepted, messages).select(
+        "city", "vehicle_id", "seq", "ts_ms", F.get_json_object("value", "$.route_id").alias("route_id")
+    )
+
+
 @query
 def latest_vehicle_stream(s: Surrogate) -> DataFrame:
     """Three runs of one query, each over a third of the arrivals: state lives between them."""
@@ -245,6 +263,47 @@ def live_state_upsert(s: Surrogate) -> DataFrame:
     return state_table.read_state(s.spark, folder).drop("upserted_at")
 
 
+_CLOCKS = [datetime(2024, 6, 1, 12, 0, second, tzinfo=timezone.utc) for second in (0, 20, 40)]
+_LIFE = 30
+
+
+def _kept_by_thirds(s: Surrogate) -> str:
+    """The state after three batches, each a third of the arrivals, 20 seconds apart; records live
+    for 30 seconds. Slots are few, so that all are compacted once and again."""
+    folder, landed = scratch_path(s.spark, "state"), scratch_path(s.spark, "landed")
+    accepted = latest.latest_vehicle_changelog(s.live).drop("ts_ms")
+    last = accepted.agg(F.max("seq")).first()[0] or 0
+    third = F.least(F.floor(F.col("seq") * 3 / (last + 1)), F.lit(2))
+    for number, clock in enumerate(_CLOCKS):
+        feeds.land_messages(accepted.where(third == number), landed)
+        records = streams.stream_latest(s.spark, path=landed, files_per_trigger=None)
+        state_table.maintain_state(
+            records, folder, f"{folder}-checkpoint", once=True, ttl_seconds=_LIFE,
+            clock=lambda clock=clock: clock, slots=2,
+        ).awaitTermination()
+    return folder
+
+
+@query
+def live_state_expiry(s: Surrogate) -> DataFrame:
+    """Vehicles whose last record was written within the life time, by folders that hold any."""
+    folder = _kept_by_thirds(s)
+    return state_table.read_live(s.spark, folder, _CLOCKS[-1], _LIFE)
+
+
+@query
+def live_health_after_expiry(s: Surrogate) -> DataFrame:
+    """Last writes outlive the records: asked for when all of them are over."""
+    folder = _kept_by_thirds(s)
+    told = []
+    for name, later in (("at once", 0), ("when all are over", 60)):
+        now = _CLOCKS[-1] + timedelta(seconds=later)
+        state = state_table.read_live(s.spark, folder, now, _LIFE)
+        writes = state_table.read_last_writes(s.spark, folder)
+        told.append(latest.live_health(state, F.lit(now), _LIFE, writes).withColumn("asked", F.lit(name)))
+    return told[0].unionByName(told[1])
+
+
 # Files and datasets.
 
 # An integer column of each dataset whose sum stands for its content.

@@ -386,6 +386,16 @@ _NODES = f"""nodes AS (
         {_degrees(_lon('p_partkey', 104729))} AS lon FROM part, cities)"""
 
 # Queries that need common tables of their own name them in "WITH" form; see ``sql``.
+# Pieces of five points, the last of which begins the next piece.
+_PIECES = """placed AS (
+            SELECT city, route_id, shape_id, lon, lat, ROW_NUMBER() OVER (
+                PARTITION BY city, route_id, shape_id ORDER BY shape_pt_sequence, lon, lat) - 1 AS n FROM paths
+        ), dealt AS (
+            SELECT *, n // 4 AS piece FROM placed
+            UNION ALL SELECT *, n // 4 - 1 FROM placed WHERE n % 4 = 0 AND n > 0
+        ), pieces AS (
+            SELECT city, route_id, shape_id, CAST(piece AS INTEGER) AS piece, n, lon, lat FROM dealt
+            QUALIFY COUNT(*) OVER (PARTITION BY city, route_id, shape_id, piece) >= 2)"""
 FINAL: dict[str, str] = {
     "clean_stops": _first(
         "city, stop_id, stop_name, stop_lat, stop_lon, location_type, parent_station",
@@ -675,6 +685,24 @@ FINAL |= {
     "route_paths": """
         SELECT city, route_id, shape_id, CAST(ROW_NUMBER() OVER (PARTITION BY city, route_id, shape_id
             ORDER BY shape_pt_sequence, lon, lat) - 1 AS INTEGER) AS place, lon, lat FROM paths""",
+    "route_path_pieces": f"""
+        WITH {_PIECES}
+        SELECT city, route_id, shape_id, piece, CAST(ROW_NUMBER() OVER (
+            PARTITION BY city, route_id, shape_id, piece ORDER BY n) - 1 AS INTEGER) AS place, lon, lat
+        FROM pieces""",
+    "route_detail_parts": f"""
+        WITH {_PIECES}
+        SELECT a.city, a.route_id, 0 AS part, stop_event_count,
+            CAST(LEAST((SELECT COUNT(*) FROM stop_activity_by_route r
+                WHERE r.city = a.city AND r.route_id = a.route_id), 80) AS INTEGER) AS stops,
+            NULL AS shape_id, NULL AS piece, NULL AS points
+        FROM route_activity a
+        UNION ALL
+        SELECT city, route_id, CAST(ROW_NUMBER() OVER (
+            PARTITION BY city, route_id ORDER BY shape_id, piece) AS INTEGER) AS part, NULL, NULL, shape_id,
+            piece, CAST(COUNT(*) AS INTEGER)
+        FROM pieces WHERE (city, route_id) IN (SELECT (city, route_id) FROM route_activity)
+        GROUP BY city, route_id, shape_id, piece""",
     "route_detail": _DETAIL,
     "city_overview": "SELECT * FROM overview",
     "busiest_stop": """
@@ -895,6 +923,10 @@ _NOW = """(SELECT MAX(COALESCE(epoch_us(updated_at), epoch_us(feed_timestamp), 0
 _STATE = """(SELECT *, COALESCE(epoch_us(updated_at), epoch_us(feed_timestamp), 0) AS upserted_at
     FROM live_snapshot)"""
 _TTL_US = 86_400 * 1_000_000
+# Three batches of the accepted arrivals at 12:00:00, 12:00:20 and 12:00:40; records live for 30 seconds.
+_BATCHED = """(SELECT *, CAST(LEAST(FLOOR(seq * 3 / (1 + (SELECT MAX(seq) FROM live_changelog))), 2) AS BIGINT) AS batch
+    FROM live_changelog)"""
+_NOON_US = 1_717_243_200_000_000
 FINAL |= {
     "scan_mbta_payload": """
         SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id, 'veh-' || user_id AS vehicle_id,
@@ -968,6 +1000,23 @@ FINAL |= {
     "live_state_upsert": f"""
         SELECT {_TIMED}, seq FROM live_changelog QUALIFY ROW_NUMBER() OVER (
             PARTITION BY city, vehicle_id ORDER BY seq DESC) = 1""",
+    "keyed_latest_stream": "SELECT city, vehicle_id, seq, ts_ms, route_id FROM live_changelog",
+    "live_state_expiry": f"""
+        SELECT {_TIMED}, seq, {_NOON_US} + batch * 20000000 AS upserted_at FROM (
+            SELECT * FROM {_BATCHED} QUALIFY ROW_NUMBER() OVER (
+                PARTITION BY city, vehicle_id ORDER BY batch DESC, seq DESC) = 1)
+        WHERE batch >= 1""",
+    "live_health_after_expiry": f"""
+        WITH newest AS (
+            SELECT *, MAX(batch) OVER (PARTITION BY city, vehicle_id) AS last_batch FROM {_BATCHED}
+        ), told AS (
+            SELECT city, COUNT(DISTINCT vehicle_id) FILTER (last_batch >= 1) AS alive,
+                {_NOON_US} + MAX(batch) * 20000000 AS last_upsert_at,
+                FIRST(vehicle_id ORDER BY batch DESC, seq DESC) AS last_vehicle_id
+            FROM newest GROUP BY city)
+        SELECT city, alive AS vehicle_count, last_upsert_at, last_vehicle_id, 'at once' AS asked FROM told
+        UNION ALL
+        SELECT city, 0, last_upsert_at, last_vehicle_id, 'when all are over' FROM told""",
     "scan_gtfs": f"""
         SELECT {_city('l_orderkey')} AS city,
             CASE WHEN l_partkey % 3 = 0 THEN '  ' || LPAD(CAST(l_orderkey AS VARCHAR), 9, '0') || ' '

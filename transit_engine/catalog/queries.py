@@ -381,6 +381,33 @@ def route_paths(s: Surrogate) -> DataFrame:
     )
 
 
+_PIECE_POINTS = 5  # the shapes of the test tables have few points
+
+
+@query
+def route_path_pieces(s: Surrogate) -> DataFrame:
+    """The pieces of all paths as rows with their place."""
+    return serving.route_path_pieces(s.route_shapes, _PIECE_POINTS).select(
+        "city", "route_id", "shape_id", "piece", F.posexplode("path").alias("place", "point")
+    ).select(
+        "city", "route_id", "shape_id", "piece", "place", F.col("point")[0].alias("lon"),
+        F.col("point")[1].alias("lat"),
+    )
+
+
+@query
+def route_detail_parts(s: Surrogate) -> DataFrame:
+    """Details of all routes in bounded parts: sizes of what each part holds."""
+    a = s.analytics
+    parts = serving.route_detail_parts(
+        a.summary, a.stop_context, s.route_shapes, a.summary, piece_points=_PIECE_POINTS
+    )
+    return parts.select(
+        "city", "route_id", "part", F.col("summary.stop_event_count").alias("stop_event_count"),
+        F.size("stops").alias("stops"), "shape_id", "piece", F.size("path").alias("points"),
+    )
+
+
 def _detail(s: Surrogate) -> DataFrame:
     a = s.analytics
     return serving.route_detail(

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from transit_engine.operators.ranked import in_order, sort_columns
 
 GROUP_LIMIT = 1000  # Spark's own bound for limiting groups ahead of the shuffle
-PARTS = 64
-
-
-def sort_columns(order: Sequence[str]) -> list[Column]:
-    """``"-name"`` sorts downwards, ``"name"`` upwards; nulls come last either way."""
-    return [
-        F.col(name[1:]).desc_nulls_last() if name.startswith("-") else F.col(name).asc_nulls_last()
-        for name in order
-    ]
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,19 +31,16 @@ def best_per_key(
     """The first ``limit`` rows of each key.
 
     Spark plans ``row_number() <= limit`` as a group limit ahead of the shuffle: each map task
-    sends at most ``limit`` rows per key. Above ``GROUP_LIMIT`` Spark does not; then the rows of
-    a key are first ranked in parts, and only the first of each part are ranked together.
+    sends at most ``limit`` rows per key. Above ``GROUP_LIMIT`` Spark does not; then all rows are
+    ranked by stretches of their order, which works for any limit and any size of a key.
     """
     name = rank or "_rank"
     if limit > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(PARTS))
-        first = Window.partitionBy(*keys, "_part").orderBy(*sort_columns(order))
-        df = (
-            df.withColumn("_part", part).withColumn("_first", F.row_number().over(first))
-            .where(F.col("_first") <= limit).drop("_part", "_first")
-        )
-    window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
+        ranked = in_order(df, keys, order, name).where(F.col(name) <= limit)
+        ranked = ranked.withColumn(name, F.col(name).cast("int"))
+    else:
+        window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+        ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
     return ranked if rank else ranked.drop(name)
 
 

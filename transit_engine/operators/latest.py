@@ -111,15 +111,26 @@ def list_vehicles(
 
 
 def live_health(
-    state: DataFrame, now: Column, ttl_seconds: int = LIVE_TTL_SECONDS
+    state: DataFrame,
+    now: Column,
+    ttl_seconds: int = LIVE_TTL_SECONDS,
+    last_writes: DataFrame | None = None,
 ) -> DataFrame:
     """Per city: unexpired vehicles, last write and the vehicle it was for.
 
-    The last write stays known after the records have expired.
+    ``last_writes`` is the table of last writes kept beside the state; with it they stay known after
+    the records have expired and left the state. Without it they are those of the records held.
     """
     age_us = F.unix_micros(now) - F.unix_micros("upserted_at")
+    alive = F.count(F.when(age_us < ttl_seconds * 1_000_000, 1)).alias("vehicle_count")
+    if last_writes is not None:
+        counted = state.groupBy("city").agg(alive)
+        return last_writes.join(counted, "city", "left").select(
+            "city", F.coalesce("vehicle_count", F.lit(0).cast("long")).alias("vehicle_count"),
+            "last_upsert_at", "last_vehicle_id",
+        )
     return state.groupBy("city").agg(
-        F.count(F.when(age_us < ttl_seconds * 1_000_000, 1)).alias("vehicle_count"),
+        alive,
         F.max("upserted_at").alias("last_upsert_at"),
         # All records of a batch are written at one time: the last to arrive is the last written.
         F.max_by("vehicle_id", F.struct("upserted_at", "seq")).alias("last_vehicle_id"),

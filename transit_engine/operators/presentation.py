@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transit_engine.functions import tiers
@@ -18,10 +18,11 @@ from transit_engine.functions.text import (
     stop_display_label,
 )
 from transit_engine.operators.access import ACCESS_COUNTS
-from transit_engine.operators.keyed import best_per_key, sort_columns
+from transit_engine.operators.keyed import best_per_key
+from transit_engine.operators.ranked import in_order, sort_columns, written
 
 _ROUTE = ["city", "route_id"]
-MAX_CITIES = 10_000
+SENT_GROUPS = 10_000  # groups that are sent to the rows instead of joined
 
 
 def service_value(avg_daily: Column, trip_count: Column) -> Column:
@@ -67,40 +68,55 @@ ROLLUP_ACCESS_ORDER = ["-poi_count_within_400m", "-trip_count", "stop_key"]
 
 
 def share_of_total(
-    report: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = ("city",)
+    report: DataFrame,
+    value: str,
+    order: Sequence[str],
+    by: Sequence[str] = ("city",),
+    stretches: int | None = None,
 ) -> DataFrame:
-    """Each row's share with its running start and end, for the rows of a short report."""
-    group = Window.partitionBy(*by)
-    running = group.orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Each row's share of its group with its running start and end.
+
+    Running sums are made by stretches of the order, so a group may hold any number of rows; its
+    total is aggregated and sent back like the maxima of ``ratio_to_max``.
+    """
     number = F.coalesce(F.col(value), F.lit(0))
-    total = F.sum(number).over(group)
-    upto = F.sum(number).over(running)
+    running = in_order(report, by, order, "_rank", {"_running": number}, stretches)
+    totals = report.groupBy(*by).agg(F.sum(number).alias("_total"))
     return (
-        report.withColumn("share", tiers.share_of(number, total))
-        .withColumn("share_start", tiers.share_of(upto - number, total))
-        .withColumn("share_end", tiers.share_of(upto, total))
+        _per_group(running, totals, by)
+        .withColumn("share", tiers.share_of(number, F.col("_total")))
+        .withColumn("share_start", tiers.share_of(F.col("_running") - number, F.col("_total")))
+        .withColumn("share_end", tiers.share_of(F.col("_running"), F.col("_total")))
+        .select(*report.columns, "share", "share_start", "share_end")
     )
 
 
+def _per_group(df: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with what was worked out for their group.
+
+    The groups are written, so their number is known: up to ``SENT_GROUPS`` of them are sent to the
+    rows, which stay where they are; more are joined, and a large group is split by adaptive
+    execution.
+    """
+    told = written(groups, "groups")
+    few = told.count() <= SENT_GROUPS
+    named = told.withColumnsRenamed({name: f"_of_{name}" for name in by})
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by]
+    return df.join(F.broadcast(named) if few else named, same).drop(*[f"_of_{name}" for name in by])
+
+
 def ratio_to_max(
     df: DataFrame, value: Column, by: Sequence[str] = ("city",), name: str = "ratio"
 ) -> DataFrame:
     """value / largest value of the group, 0 if that is 0.
 
     The maximum is aggregated and joined back: a window over a city would put all of that
-    city's rows into one task. By city there are at most ``MAX_CITIES`` of them, which is checked;
-    so they are sent to the rows, which stay where they are.
+    city's rows into one task.
     """
     scored = df.withColumn("_value", value)
     largest = scored.groupBy(*by).agg(F.max("_value").alias("_max"))
-    if list(by) == ["city"]:
-        over = F.raise_error(F.lit(f"more than {MAX_CITIES} cities"))
-        place = F.row_number().over(Window.orderBy("city"))
-        largest = F.broadcast(
-            largest.withColumn("_max", F.when(place <= MAX_CITIES, F.col("_max")).otherwise(over))
-        )
     return (
-        scored.join(largest, list(by))
+        _per_group(scored, largest, by)
         .withColumn(name, tiers.share_of(F.col("_value"), F.col("_max")))
         .drop("_value", "_max")
     )

@@ -4,10 +4,12 @@ Two positions closer than the box lie in the same or in neighbouring cells of a
 size. One side is copied to its nine cells (``spread``), the other keeps its own (``fixed``), and
 the join is on (city, band, column); box and distance are checked on the joined rows.
 
-A cell that holds more than ``split_rows`` rows of the fixed side is split: its rows go by hash
-to as many parts as needed, and the spread side is copied to the parts of such cells only. The
-list of split cells has at most (fixed rows / split_rows) entries; whether it is broadcast is
-left to the measured size.
+Cells are counted on both sides first. Where a cell holds more than ``split_rows`` rows of a side,
+that side is dealt to as many parts by a hash of the row, and the other side's rows of that cell are
+copied to them, so that a block (part of one side, part of the other) is never large. The list of
+such cells is written: it is empty for most tables, and the join is then on cells alone; else it has
+at most (rows / split_rows) entries, and up to ``SENT_CELLS`` of them are broadcast, so that each side
+is shuffled once. A longer list is joined.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 from transit_engine.constants import EARTH_RADIUS_M
 from transit_engine.functions.geo import haversine_m, within_box
+from transit_engine.operators.ranked import written
 
 SPLIT_ROWS = 20_000
+SENT_CELLS = 100_000  # split cells that are sent to the rows, a few megabytes
 _METRES_PER_DEGREE = math.pi * EARTH_RADIUS_M / 180
 _CELL = ["_band", "_column"]
 # Cells are a little wider than the box, so that rounding in the division cannot skip a cell.
@@ -74,7 +78,47 @@ def _nine_cells(df: DataFrame, at: Sequence[str], reach: Reach) -> DataFrame:
     return banded.select("*", around(reach.column(lon, F.col("_band"))).alias("_column"))
 
 
-def _placed(
+def _crowded(
+    spread_cells: DataFrame, fixed_cells: DataFrame, cell: Sequence[str], split_rows: int
+) -> DataFrame | None:
+    """The cells to be split with the number of parts of either side; None if there are none."""
+    rows = [
+        cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > split_rows)
+        .select(*cell, *[
+            (F.ceil(F.col("_rows") / split_rows) if own else F.lit(1)).cast("long").alias(parts)
+            for parts, own in (("_fixed_parts", side == "fixed"), ("_spread_parts", side == "spread"))
+        ])
+        for side, cells in (("fixed", fixed_cells), ("spread", spread_cells))
+    ]
+    found = written(
+        rows[0].unionByName(rows[1]).groupBy(*cell).agg(
+            F.max("_fixed_parts").alias("_fixed_parts"), F.max("_spread_parts").alias("_spread_parts")
+        ),
+        "crowded-cells",
+    )
+    n = found.count()
+    return None if n == 0 else F.broadcast(found) if n <= SENT_CELLS else found
+
+
+def _dealt(cells: DataFrame, crowded: DataFrame, cell: Sequence[str], content: Sequence[str], side: str) -> DataFrame:
+    """Rows with their block: the own part by a hash of the row, copied to the other side's parts."""
+    other = {"fixed": "spread", "spread": "fixed"}[side]
+    one = F.lit(1).cast("long")
+    own, copies = F.coalesce(f"_{side}_parts", one), F.coalesce(f"_{other}_parts", one)
+    # A hash of the row, not a random number: a task that is run again sends it the same way.
+    return (
+        cells.join(crowded, list(cell), "left")
+        .withColumn(f"_{side}_part", F.pmod(F.xxhash64(*content), own))
+        .withColumn(f"_{other}_part", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+        .drop("_fixed_parts", "_spread_parts")
+    )
+
+
+_BLOCK = ["_fixed_part", "_spread_part"]
+
+
+def _sides(
     spread: DataFrame,
     fixed: DataFrame,
     spread_at: Sequence[str],
@@ -83,30 +127,18 @@ def _placed(
     by: Sequence[str],
     split_rows: int,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with their cell and part, and the equi-join keys."""
+    """Both sides with their cell and, if any is split, their block, and the equi-join keys."""
     cell = [*by, *_CELL]
-    content = [name for name in fixed.columns if name not in by]
     spread_cells = _nine_cells(spread, spread_at, reach)
     fixed_cells = _own_cell(fixed, fixed_at, reach)
-    crowded = (
-        fixed_cells.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > split_rows)
-        .select(*cell, F.ceil(F.col("_rows") / split_rows).alias("_parts"))
-    )
-    parts = F.coalesce("_parts", F.lit(1).cast("long"))
-    # A hash of the row, not a random number: a task that is run again sends it the same way.
-    fixed_parts = (
-        fixed_cells.join(crowded, cell, "left")
-        .withColumn("_part", F.pmod(F.xxhash64(*content), parts))
-        .drop("_parts")
-    )
-    spread_parts = (
-        spread_cells.join(crowded, cell, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-        .drop("_parts")
+    crowded = _crowded(spread_cells, fixed_cells, cell, split_rows)
+    if crowded is None:
+        return spread_cells, fixed_cells, cell
+    return (
+        _dealt(spread_cells, crowded, cell, [n for n in spread.columns if n not in by], "spread"),
+        _dealt(fixed_cells, crowded, cell, [n for n in fixed.columns if n not in by], "fixed"),
+        [*cell, *_BLOCK],
     )
-    return spread_parts, fixed_parts, [*cell, "_part"]
 
 
 def near_pairs(
@@ -119,14 +151,14 @@ def near_pairs(
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Every pair within reach, with ``distance_m``; apart from ``by``, names must differ."""
-    left, right, keys = _placed(spread, fixed, spread_at, fixed_at, reach, by, split_rows)
+    left, right, keys = _sides(spread, fixed, spread_at, fixed_at, reach, by, split_rows)
     place = [F.col(name) for name in (*spread_at, *fixed_at)]
     distance = F.col("distance_m")
     return (
         left.join(right, keys)
         .withColumn("distance_m", haversine_m(*place))
         .where(reach.reached(distance, *place))
-        .drop(*_CELL, "_part")
+        .drop(*_CELL, *_BLOCK)
     )
 
 
@@ -139,11 +171,21 @@ def near_any(
     by: Sequence[str] = ("city",),
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
-    """The rows of ``fixed`` with at least one ``spread`` row within reach (a semi-join)."""
-    right, left, keys = _placed(spread, fixed, spread_at, fixed_at, reach, by, split_rows)
+    """The rows of ``fixed`` with at least one ``spread`` row within reach (a semi-join).
+
+    In a split cell a row is looked for in several blocks and may be found in more than one; such
+    rows are folded again, rows that are there twice stay twice.
+    """
+    right, left, keys = _sides(spread, fixed, spread_at, fixed_at, reach, by, split_rows)
     here = [left[name] for name in fixed_at]
     there = [right[name] for name in spread_at]
     matching = reach.reached(haversine_m(*here, *there), *here, *there)
     for key in keys:
         matching = (left[key] == right[key]) & matching
-    return left.join(right, matching, "left_semi").select(*fixed.columns)
+    found = left.join(right, matching, "left_semi")
+    if "_spread_part" not in keys:
+        return found.select(*fixed.columns)
+    # All copies of a row lie in the same blocks, so any block that found it tells their number.
+    per_block = found.groupBy(*fixed.columns, "_spread_part").agg(F.count(F.lit(1)).alias("_copies"))
+    once = per_block.groupBy(*fixed.columns).agg(F.max("_copies").cast("int").alias("_copies"))
+    return once.select(*fixed.columns, F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("col")

@@ -21,7 +21,8 @@ from transit_engine.constants import (
     STOP_LIMIT,
 )
 from transit_engine.operators.access import ACCESS_COLUMNS
-from transit_engine.operators.keyed import best_per_key, sort_columns, top_rows
+from transit_engine.operators.keyed import best_per_key, top_rows
+from transit_engine.operators.ranked import in_order, sort_columns
 
 
 # Sort keys; a leading minus sorts downwards.
@@ -159,10 +160,39 @@ def route_path_points(shapes: DataFrame) -> DataFrame:
     )
 
 
+PIECE_POINTS = 1000
+
+
+def route_path_pieces(
+    shapes: DataFrame, piece_points: int = PIECE_POINTS, stretches: int | None = None
+) -> DataFrame:
+    """Every path as numbered pieces of at most ``piece_points`` points of ``[lon, lat]``.
+
+    A piece begins with the point that the one before ends with, so pieces drawn one by one give the
+    line, and no value grows with a shape. Points are numbered by stretches of their order, so that
+    no task holds a shape. Paths of one point are dropped.
+    """
+    order = ["shape_pt_sequence", "shape_pt_lon", "shape_pt_lat"]
+    numbered = in_order(shapes.select(*_PATH, *order), _PATH, order, "_number", stretches=stretches)
+    place, step = F.col("_number") - 1, piece_points - 1
+    own = F.floor(place / step)
+    # A point between two pieces ends the one and begins the other.
+    pieces = F.when((place % step == 0) & (place > 0), F.array(own - 1, own)).otherwise(F.array(own))
+    point = F.struct("_number", "shape_pt_lon", "shape_pt_lat")
+    cut = (
+        numbered.select("*", F.explode(pieces).alias("piece"))
+        .groupBy(*_PATH, "piece").agg(F.array_sort(F.collect_list(point)).alias("points"))
+        .where(F.size("points") >= 2)
+    )
+    path = F.transform("points", lambda p: F.array(p["shape_pt_lon"], p["shape_pt_lat"]))
+    return cut.select(*_PATH, F.col("piece").cast("int").alias("piece"), path.alias("path"))
+
+
 def route_paths(shapes: DataFrame) -> DataFrame:
     """Per shape the ``[lon, lat]`` list in sequence order, paths of one point dropped.
 
-    Meant for the shapes of selected routes, which a map draws as one line each.
+    Meant for the shapes of selected routes, which a map draws as one line each; shapes of any
+    length are what ``route_path_pieces`` is for.
     """
     point = F.struct("shape_pt_sequence", "shape_pt_lon", "shape_pt_lat")
     ordered = F.array_sort(F.collect_list(point))
@@ -171,6 +201,34 @@ def route_paths(shapes: DataFrame) -> DataFrame:
     return lines.select(*_PATH, path.alias("path"))
 
 
+def route_detail_parts(
+    summary: DataFrame,
+    context: DataFrame,
+    shapes: DataFrame,
+    wanted: DataFrame,
+    stop_limit: int = DETAIL_STOPS,
+    piece_points: int = PIECE_POINTS,
+) -> DataFrame:
+    """``route_detail`` for routes of any size, as rows.
+
+    Part 0 of a route has its summary and stops, every further part one piece of one path (shape,
+    number of the piece, points). A row is bounded by the limits of stops and points.
+    """
+    keys = ["city", "route_id"]
+
+    def only_wanted(df: DataFrame) -> DataFrame:
+        return df.join(wanted.select(*keys), keys, "left_semi")
+
+    heads = route_preview(only_wanted(summary), only_wanted(context), stop_limit)
+    pieces = route_path_pieces(only_wanted(shapes), piece_points)
+    order = ["shape_id", "piece"]
+    numbered = in_order(pieces, keys, order, "part").withColumn("part", F.col("part").cast("int"))
+    known = numbered.join(heads.select(*keys), keys, "left_semi")
+    return heads.withColumn("part", F.lit(0)).unionByName(known, allowMissingColumns=True).select(
+        *keys, "part", "summary", "stops", "shape_id", "piece", "path"
+    )
+
+
 def route_detail(
     summary: DataFrame,
     context: DataFrame,

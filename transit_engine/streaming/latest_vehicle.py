@@ -3,8 +3,8 @@
 Two forms. ``keep_latest`` works on whole micro-batches with DataFrame operations: the batch is cut
 into blocks of arrivals, so that a vehicle with most of the messages fills no task, and a small
 table has the newest time of each vehicle between batches. ``latest_vehicle_stream`` keeps keyed
-state and gives a stream; it holds the times and payloads of one vehicle's part of a batch in
-memory, so it needs a cap on what a trigger takes.
+state and gives a stream. Of one vehicle's part of a batch it holds two numbers per message in memory,
+and the messages too where they are to come along; else they are put back by a join.
 """
 
 from __future__ import annotations
@@ -21,33 +21,47 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from transit_engine.functions.times import event_time_ms, parse_iso_timestamp
 from transit_engine.operators.latest import BLOCK, KEY, accepted_in_order
-from transit_engine.streaming.state_table import read_state, write_version
+from transit_engine.streaming.keyed_deltas import SLOTS, compact, read_rows, write_delta
 
-ACCEPTED = "city string, vehicle_id string, seq long, ts_ms long, value string"
+ACCEPTED_TIMES = "city string, vehicle_id string, seq long, ts_ms long"
+ACCEPTED = f"{ACCEPTED_TIMES}, value string"
+AT_ONCE = 10_000
 _STATE = T.StructType([T.StructField("newest_ms", T.LongType())])
 _TIMES = "city string, vehicle_id string, updated_at string, feed_timestamp string"
 
 
 class LatestOnly(StatefulProcessor):
-    """State per vehicle: the newest accepted time. A record passes if it is not older."""
+    """State per vehicle: the newest accepted time. A record passes if it is not older.
 
-    def __init__(self, ttl_seconds: int | None = None):
-        self.ttl_seconds = ttl_seconds
+    Without payload, two numbers per message of a vehicle's part of a batch are held, and what
+    passes goes on in chunks. With payload, so are the messages that are not older than the state.
+    """
+
+    def __init__(self, ttl_seconds: int | None = None, payload: bool = True):
+        self.ttl_seconds, self.payload = ttl_seconds, payload
 
     def init(self, handle) -> None:
         ttl_ms = self.ttl_seconds * 1000 if self.ttl_seconds else None
         self.newest = handle.getValueState("newest_ms", _STATE, ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
         stored = self.newest.get()
-        times = arrived["ts_ms"].to_numpy()
-        floor = times[0] if stored is None else stored[0]
-        newest = np.maximum(np.maximum.accumulate(times), floor)
-        accepted = arrived[times >= newest]
-        if len(accepted):
+        floor = np.iinfo(np.int64).min if stored is None else stored[0]
+        held = []
+        for chunk in rows:
+            chunk = chunk[chunk["ts_ms"] >= floor]
+            held.append([chunk[name].to_numpy() for name in ("seq", "ts_ms", *["value"] * self.payload)])
+        columns = [np.concatenate(column) for column in zip(*held)]
+        order = np.argsort(columns[0], kind="stable")
+        times = columns[1][order]
+        newest = np.maximum.accumulate(times)
+        passed = order[times >= newest]
+        if len(passed):
             self.newest.update((int(newest[-1]),))
-            yield accepted
+        for begin in range(0, len(passed), AT_ONCE):
+            part = [column[passed[begin : begin + AT_ONCE]] for column in columns]
+            named = zip(("seq", "ts_ms", "value"), part)
+            yield pd.DataFrame({"city": key[0], "vehicle_id": key[1], **dict(named)})
 
     def close(self) -> None:
         pass
@@ -75,6 +89,7 @@ def accept_latest(
     ttl_seconds: int | None = None,
     block: int = BLOCK,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    slots: int = SLOTS,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each batch's accepted messages below ``out``.
 
@@ -85,7 +100,7 @@ def accept_latest(
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         spark, now = batch.sparkSession, F.lit(clock())
-        known = read_state(spark, state, before=batch_id, schema=NEWEST)
+        known = read_rows(spark, state, NEWEST, KEY, before=batch_id)
         if ttl_seconds is not None:
             age_us = F.unix_micros(now) - F.unix_micros("accepted_at")
             known = known.where(age_us < ttl_seconds * 1_000_000)
@@ -98,11 +113,10 @@ def accept_latest(
         target = f"{out}/batch={batch_id}"
         accepted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
         written = spark.read.schema(ACCEPTED).parquet(target)
+        # An accepted time is never below the one known, so the newest row of a vehicle holds.
         latest = written.groupBy(*KEY).agg(F.max("ts_ms").alias("newest_ms")).withColumn("accepted_at", now)
-        merged = known.unionByName(latest).groupBy(*KEY).agg(
-            F.max("newest_ms").alias("newest_ms"), F.max("accepted_at").alias("accepted_at")
-        )
-        write_version(merged, state, batch_id, "city")
+        write_delta(latest, state, batch_id, KEY, "accepted_at", ttl_seconds, slots)
+        compact(spark, state, batch_id, NEWEST, KEY, "accepted_at", ttl_seconds, now, slots)
 
     return accept
 
@@ -121,18 +135,35 @@ def accepted_messages(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(ACCEPTED).parquet(f"{out}/batch=*")
 
 
-def latest_vehicle_stream(messages: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
+def latest_vehicle_stream(
+    messages: DataFrame, ttl_seconds: int | None = None, payload: bool = True
+) -> DataFrame:
     """Messages (seq, value) -> the accepted ones, whole, with their key and compared time.
 
-    Only the key and the two times are parsed; the payload passes through as it came. There is
-    no watermark: a late record is judged against its own vehicle only. State is kept for good,
-    or for ``ttl_seconds`` after the last accepted record; after that an older one passes again.
-    With a life time, a run that should end by itself (``availableNow``) needs
-    ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
+    Only the key and the two times are parsed. Without ``payload`` only they go through the keyed
+    state, which a vehicle with very many messages in one trigger needs; ``with_payload`` puts the
+    messages back. There is no watermark: a late record is judged against its own vehicle only.
+    State is kept for good, or for ``ttl_seconds`` after the last accepted record; after that an
+    older one passes again. With a life time, a run that should end by itself (``availableNow``)
+    needs ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
     """
-    return timed_messages(messages).groupBy("city", "vehicle_id").transformWithStateInPandas(
-        statefulProcessor=LatestOnly(ttl_seconds),
-        outputStructType=ACCEPTED,
+    timed = timed_messages(messages)
+    return (timed if payload else timed.drop("value")).groupBy(*KEY).transformWithStateInPandas(
+        statefulProcessor=LatestOnly(ttl_seconds, payload),
+        outputStructType=ACCEPTED if payload else ACCEPTED_TIMES,
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_seconds else "None",
     )
+
+
+def with_payload(accepted: DataFrame, messages: DataFrame) -> DataFrame:
+    """Accepted arrivals (a table, such as what a micro-batch wrote) with their messages.
+
+    The join is on the arrival and the vehicle, so it is spread however many messages one vehicle
+    has; a message that is there twice counts once.
+    """
+    keyed = timed_messages(messages).select("seq", *KEY, "value")
+    once = keyed.groupBy("seq", *KEY).agg(F.first("value").alias("value"))
+    return accepted.join(once, ["seq", *KEY]).select(
+        *[name.split()[0] for name in ACCEPTED.split(", ")]
+    )
