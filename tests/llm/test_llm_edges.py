@@ -108,6 +108,20 @@ def test_exact_copies(docs):
     assert {r["doc_id"]: r["keep_id"] for r in rows if r["doc_id"] in (1, 2, 3)} == {1: 1, 2: 1, 3: 3}
 
 
+def test_one_id_on_several_texts_loses_none_of_them(spark):
+    """A copy goes, another text of the same id stays; of near copies with one id one stays."""
+    long = " ".join(f"w{k}" for k in range(400))
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "other words"), (2, "other words"), (3, long), (3, long + " x"),
+            (None, "a b c d e"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {name: F.lit("x") for name in ("row", "text_key", "fp", "gone_id", "row_key", "first")}
+    )
+    kept = [(r["doc_id"], r["text"]) for r in simhash.survivors(docs).collect()]
+    assert {(1, "a b c d e"), (2, "other words"), (None, "a b c d e"), (4, None)} <= set(kept)
+    assert (2, "a b c d e") not in kept and kept.count((2, "other words")) == 2
+    assert [doc_id for doc_id, _ in kept].count(3) == 1
+
+
 def test_survivors_of_repeated_rows(spark):
     rows = [(7, "twice"), (7, "twice"), (7, "other"), (None, "none"), (None, "none"), (8, "other ")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -69,17 +69,21 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: one row per row of ``docs``; null and blank texts have fingerprint 0."""
+    """doc_id, fp, text_key: one row per row of ``docs``; null and blank texts have fingerprint 0.
+
+    ``text_key`` is a hash of the text, which tells rows of one doc_id apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.int64())], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(made, pa.int64()), batch.column(2)],
+                names=["doc_id", "fp", "text_key"],
             )
 
-    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text", "xxhash64(text) AS text_key")
+    return rows.mapInArrow(run, "doc_id long, fp long, text_key long")
 
 
 def _prefix(key: Column, depth: int) -> Column:
@@ -273,7 +277,7 @@ def fingerprint_edges(distinct: DataFrame, leaf: int = LEAF) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, leaf: int = LEAF) -> DataFrame:
-    """doc_id, fp, component_id: one row per row of ``docs``.
+    """doc_id, fp, text_key, component_id: one row per row of ``docs``.
 
     Texts are lower-cased (A-Z), cut into words and shingles of ``shingle`` words, repeats
     included; fewer words are one shingle, none give fingerprint 0, which is linked like any
@@ -291,11 +295,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, leaf: int = LEAF) -
     )
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = saved(named.join(smallest, "root").select("fp", "component_id"), "fingerprint-groups")
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(found, "fp").select("doc_id", "fp", "text_key", "component_id")
 
 
 def survivors(docs: DataFrame) -> DataFrame:
-    """One document of each group: the row with the smallest doc_id. Rows without doc_id can't be
-    told apart by it and stay; rows that repeat a doc_id stay or go together."""
-    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id"))
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group: the row with the smallest doc_id and, of several texts with that
+    id, the one with the smallest key. Rows without doc_id can't be told apart by it and stay; rows
+    that repeat both doc_id and text stay or go together, rows that share an id only do not."""
+    found = saved(near_duplicates(docs).where(F.col("doc_id").isNotNull()), "fingerprint-rows")
+    named = found.where(F.col("doc_id") == F.col("component_id"))
+    several = named.groupBy("component_id").agg(
+        F.min("text_key").alias("first"), F.max("text_key").alias("last")
+    ).where(F.col("first") != F.col("last"))
+    others = named.join(several, "component_id").where(F.col("text_key") != F.col("first"))
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", "text_key").unionByName(
+        others.select("doc_id", "text_key")
+    ).distinct().toDF("gone_id", "gone_key")
+    # A row travels as one struct, so that none of its columns can clash.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("row_id"),
+        F.xxhash64("text").alias("row_key"),
+    )
+    same = (F.col("row_id") == F.col("gone_id")) & (F.col("row_key") == F.col("gone_key"))
+    return rows.join(gone, same, "left_anti").select("row.*")
