@@ -13,9 +13,9 @@ from transit_engine.catalog.queries import _one_city, _IDS, query
 from transit_engine.catalog.surrogate import Surrogate
 from transit_engine.constants import CTA_BUS_TIME_FORMATS, CTA_ZONE
 from transit_engine.functions.times import parse_local_timestamp
-from transit_engine.operators import activity, latest, live, service_calendar
+from transit_engine.operators import activity, cleaning, latest, live, service_calendar
 from transit_engine.plans.batch import build_analytics, clean_all, read_clean
-from transit_engine.plans.warehouse import load_datasets
+from transit_engine.plans.warehouse import load_datasets, load_single_city
 from transit_engine.schemas import ANALYTICS, CLEAN
 from transit_engine.session import scratch_path
 from transit_engine.sinks import datasets
@@ -46,17 +46,29 @@ def scan_mbta_payload(s: Surrogate) -> DataFrame:
 
 @query
 def scan_cta_bus_payload(s: Surrogate) -> DataFrame:
-    scanned = payloads.scan_cta_bus_payload(feeds.cta_bus_payloads(s))
-    return scanned.select("payload_id", *[
-        F.coalesce(F.size(name), F.lit(0)).cast("long").alias(name)
-        for name in ("vehicles", "errors", "routes")
-    ])
+    """What each document holds, value by value: vehicles, errors and routes."""
+    responses = payloads.scan_cta_bus_payload(feeds.cta_bus_payloads(s))
+    columns = ["payload_id", "kind", "rt", "name", "dly", "hdg", "lat"]
+
+    def told(kind: str, rows: DataFrame, **named) -> DataFrame:
+        given = rows.withColumns({"kind": F.lit(kind), **named})
+        missing = F.lit(None).cast("string")
+        found = given.select(*[c if c in given.columns else missing.alias(c) for c in columns])
+        return found.withColumns({name: F.col(name).try_cast("double") for name in ("hdg", "lat")})
+
+    routes = responses.select("payload_id", F.explode("routes").alias("route")).select("payload_id", "route.*")
+    return (
+        told("vehicle", payloads.bus_vehicles(responses), name=F.col("vid"))
+        .unionByName(told("error", payloads.bus_errors(responses), name=F.col("msg")))
+        .unionByName(told("route", routes, name=F.col("rtnm")))
+    )
 
 
 @query
 def scan_cta_train_payload(s: Surrogate) -> DataFrame:
+    """Every train with its line, value by value."""
     trains = payloads.scan_cta_train_payload(feeds.cta_train_payloads(s))
-    return trains.groupBy("payload_id", "line_name").agg(F.count(F.lit(1)).alias("trains"))
+    return trains.select("payload_id", "line_name", "rn", "destNm", "nextStpId", "isApp", "trDr", "prdt")
 
 
 @query
@@ -347,8 +359,27 @@ def _raw_folders(s: Surrogate, **tables: DataFrame) -> dict[str, str]:
     return {city: f"{root}/{city}" for city in cities}
 
 
+def _as_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of the tables as city, table and its fields in one text, ``~`` for a missing one."""
+    told = None
+    for name, table in tables.items():
+        fields = [F.coalesce(F.col(n), F.lit("~")) for n in table.columns if n != "city"]
+        one = table.select("city", F.lit(name).alias("dataset"), F.concat_ws("|", *fields).alias("line"))
+        told = one if told is None else told.unionByName(one)
+    return told
+
+
 @query
 def scan_gtfs(s: Surrogate) -> DataFrame:
+    """All five schedule tables of both cities, value by value."""
+    raw = {name: getattr(s, f"raw_{name}") for name in files.GTFS_TABLES}
+    folders = _raw_folders(s, **{f"{name}__txt": table for name, table in raw.items()})
+    scanned = {name: files.scan_gtfs(s.spark, folders, name) for name in raw}
+    return _as_lines({name: table.select(*raw[name].columns) for name, table in scanned.items()})
+
+
+@query
+def scan_gtfs_stop_times(s: Surrogate) -> DataFrame:
     folders = _raw_folders(s, stop_times__txt=s.raw_stop_times)
     return files.scan_gtfs(s.spark, folders, "stop_times")
 
@@ -361,12 +392,44 @@ def scan_calendar(s: Surrogate) -> DataFrame:
 
 @query
 def scan_osm(s: Surrogate) -> DataFrame:
+    """Roads and places of both cities, value by value."""
+    raw = {"roads": s.raw_roads, "pois": s.raw_pois}
+    folders = _raw_folders(s, **{f"{name}__csv": table for name, table in raw.items()})
+    scanned = {name: files.scan_osm(s.spark, folders, name) for name in raw}
+    return _as_lines({name: table.select(*raw[name].columns) for name, table in scanned.items()})
+
+
+@query
+def scan_osm_counts(s: Surrogate) -> DataFrame:
     folders = _raw_folders(s, roads__csv=s.raw_roads)
     return files.scan_osm(s.spark, folders, "roads").groupBy("city").agg(
         F.count(F.lit(1)).alias("segments"), F.count_distinct("osm_id").alias("ids")
     )
 
 
+# A whole number of each clean table, besides those in MEASURES that are ids.
+_CLEAN_MEASURES = MEASURES | {"roads": "length_m", "pois": "lon"}
+
+
+@query
+def clean_without_city(s: Surrogate) -> DataFrame:
+    """All seven tables cleaned as a single city's, without a city column in what is read.
+
+    The two cities' ids are told apart by the city in front of them.
+    """
+    told = None
+    for name in CLEAN:
+        raw = getattr(s, f"raw_{name}")
+        ids = {n: F.concat("city", F.lit("/"), n) for n in (*_IDS, "osm_id") if n in raw.columns}
+        clean = getattr(cleaning, f"clean_{name}")(raw.withColumns(ids).drop("city"), city="both")
+        one = clean.groupBy("city").agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.floor(_CLEAN_MEASURES[name])).alias("measure"),
+        )
+        told = one if told is None else told.unionByName(one)
+    return told
+
+
 @query
 def scan_clean(s: Surrogate) -> DataFrame:
     """All seven clean tables, written and read back."""
@@ -395,8 +458,49 @@ def warehouse_union(s: Surrogate) -> DataFrame:
     return _measured(stacked, upper=True)
 
 
+def _single_city_tables(s: Surrogate) -> dict[str, DataFrame]:
+    """The ten city-less datasets over both cities' rows."""
+    stops, routes, trips, stop_times, shapes = (
+        _one_city(getattr(s, name), *_IDS) for name in ("stops", "routes", "trips", "stop_times", "shapes")
+    )
+    used = _one_city(s.trips.where(F.col("shape_id").isNotNull()), *_IDS)
+    counts = activity.stop_activity_raw(stop_times)
+    return {
+        "stops": stops, "routes": routes, "trips": trips, "stop_times": stop_times, "shapes": shapes,
+        "stop_activity": counts,
+        "stop_activity_enriched": activity.single_city_stop_activity_enriched(stops, counts),
+        "route_activity": activity.single_city_route_activity(stop_times, trips, routes),
+        "stop_activity_by_route": activity.single_city_stop_activity_by_route(stop_times, trips, routes, stops),
+        "route_shapes": activity.single_city_route_shapes(used, routes, shapes),
+    }
+
+
 @query
 def legacy_load(s: Surrogate) -> DataFrame:
+    """The ten city-less datasets, written, loaded as warehouse tables and read from there."""
+    root = scratch_path(s.spark, "single-city")
+    for name, table in _single_city_tables(s).items():
+        table.write.parquet(f"{root}/{name}")
+    tables = load_single_city(s.spark, root, root, f"run_{uuid.uuid4().hex[:12]}_")
+    told = None
+    for dataset, name in tables.items():
+        loaded = s.spark.table(name)
+        one = loaded.agg(
+            F.lit(dataset).alias("dataset"), F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.col(MEASURES[dataset].upper()).cast("long")).alias("measure"),
+            F.count_distinct(loaded.columns[0]).alias("ids"),
+        )
+        told = one if told is None else told.unionByName(one)
+    out = scratch_path(s.spark, "loaded")
+    told.write.parquet(out)
+    for name in tables.values():
+        s.spark.sql(f"DROP TABLE {name}")
+    return s.spark.read.schema(told.schema).parquet(out)
+
+
+@query
+def legacy_load_stops(s: Surrogate) -> DataFrame:
+    """One of them, value by value."""
     counts = activity.stop_activity_raw(_one_city(s.stop_times, *_IDS))
     enriched = activity.single_city_stop_activity_enriched(_one_city(s.stops, *_IDS), counts)
     return datasets.warehouse_union([enriched])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from transit_engine.catalog.live_queries import MEASURES
 from transit_engine.constants import (
+    CTA_INACTIVE_ROUTE_MESSAGE,
     AMENITY_GROUP_LABELS,
     POI_CATEGORY_LABELS,
     POI_GROUPS,
@@ -871,6 +872,70 @@ _TIMED = (
     "epoch_us(updated_at) AS updated_at, epoch_us(feed_timestamp) AS feed_timestamp, source"
 )
 _NONE = "CAST(NULL AS VARCHAR)"
+
+
+def _line(dataset: str, source: str, fields: list[str]) -> str:
+    """The raw rows of a table as city, table and its fields in one text."""
+    told = " || '|' || ".join(f"COALESCE({field}, '~')" for field in fields)
+    return f"SELECT city, '{dataset}' AS dataset, {told} AS line FROM {source}"
+
+
+def _text(number: str) -> str:
+    return f"CAST({number} AS VARCHAR)"
+
+
+_RAW_LINES = {
+    "stops": (f"part, cities, {_COPY}", [
+        _padded(_text("p_partkey"), "p_partkey % 3 = 0"),
+        f"CASE WHEN p_partkey % 37 <> 0 THEN p_name || {_COPY_NAME} END",
+        f"CASE WHEN p_partkey % 31 = 0 THEN 'n/a' ELSE {_degrees_text(_lat('p_partkey', 7919))} END",
+        _degrees_text(_lon("p_partkey", 104729)),
+        f"CASE WHEN p_partkey % 29 = 0 THEN 'x' ELSE {_text('p_size % 2')} END",
+        f"CASE WHEN p_partkey % 5 = 0 THEN {_padded(_text('p_partkey % 7'), 'p_partkey % 2 = 0')} END",
+    ]),
+    "routes": (f"customer, cities, {_COPY}", [
+        f"CASE WHEN c_custkey % 43 <> 0 THEN {_padded(_text('c_custkey'), 'c_custkey % 3 = 0')} END",
+        "'R' || c_custkey", _padded(f"(c_name || {_COPY_NAME})", "c_custkey % 4 = 0"),
+        f"CASE WHEN c_custkey % 17 = 0 THEN 'bus' ELSE {_text('c_custkey % 5')} END",
+    ]),
+    "trips": (f"(SELECT *, {_city('o_orderkey')} AS city FROM orders), {_COPY}", [
+        f"CASE WHEN o_orderkey % 43 <> 0 THEN {_text('o_custkey')} END",
+        f"CASE WHEN o_orderkey % 29 <> 0 THEN {_text('o_custkey + copy')} END",
+        _padded(_text("o_orderkey"), "o_orderkey % 3 = 0"),
+        f"CASE WHEN o_orderkey % 19 = 0 THEN 'out' ELSE {_text('o_custkey % 2')} END",
+        f"CASE WHEN o_orderkey % 10 <> 0 THEN {_text('o_orderkey % 3')} END",
+        _padded("o_orderstatus", "o_orderkey % 2 = 0"), _text("o_orderkey % 3"),
+    ]),
+    "stop_times": (f"(SELECT *, {_city('l_orderkey')} AS city FROM lineitem)", [
+        _padded(f"LPAD({_text('l_orderkey')}, 9, '0')", "l_partkey % 3 = 0"),
+        f"LPAD({_text('4 + l_linenumber * 3')}, 2, '0') || ':10:00'",
+        f"LPAD({_text('4 + l_linenumber * 3')}, 2, '0') || ':11:00'",
+        f"CASE WHEN l_partkey % 59 <> 0 THEN {_text('l_partkey')} END",
+        f"CASE WHEN l_partkey % 53 = 0 THEN 'x' ELSE {_text('l_linenumber')} END",
+    ]),
+    "shapes": ("orders, cities", [
+        _padded(_text("o_custkey"), "o_orderkey % 4 = 0"),
+        f"CASE WHEN o_orderkey % 31 = 0 THEN 'n/a' ELSE {_degrees_text(_lat('o_orderkey', 7919))} END",
+        _degrees_text(_lon("o_orderkey", 104729)),
+        f"CASE WHEN o_orderkey % 37 <> 0 THEN {_text('o_orderkey')} END",
+    ]),
+    "roads": ("orders, cities", [
+        _text("o_orderkey // 2"), _padded("('Road ' || o_custkey)", "o_orderkey % 3 = 0"),
+        _padded(_pick(_HIGHWAYS, f"o_custkey % {len(_HIGHWAYS)}"), "o_orderkey % 2 = 0"),
+        _degrees_text(_lat("o_orderkey", 6151)), _degrees_text(_lon("o_orderkey", 3571)),
+        _degrees_text(_lat("o_orderkey", 6151, 2)), _degrees_text(_lon("o_orderkey", 3571, -4)),
+        _degrees_text(_lat("o_orderkey", 6151, 1)),
+        f"CASE WHEN o_orderkey % 31 = 0 THEN '?' ELSE {_degrees_text(_lon('o_orderkey', 3571, -2))} END",
+        f"CASE WHEN o_orderkey % 7 <> 0 THEN {_text('o_orderkey % 5000')} || '.5' END",
+    ]),
+    "pois": (f"customer, cities, {_COPY}", [
+        _text("c_custkey"), f"c_name || {_COPY_NAME}", "'amenity'",
+        _pick(_CATEGORIES, f"c_custkey % {len(_CATEGORIES)}"),
+        _padded(_pick(_CATEGORIES, f"c_custkey % {len(_CATEGORIES)}"), "c_custkey % 2 = 0"),
+        f"CASE WHEN c_custkey % 31 = 0 THEN 'n/a' ELSE {_degrees_text(_lat('c_custkey', 6151))} END",
+        _degrees_text(_lon("c_custkey", 3571)),
+    ]),
+}
 # Chicago winter time; the test events all lie in January.
 _LOCAL_TO_UTC_US = "+ 21600000000"
 _MBTA_RECORDS = """
@@ -933,18 +998,35 @@ FINAL |= {
             CASE WHEN user_id % 17 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS route_id,
             CASE WHEN user_id % 17 <> 0 THEN 'S' || user_id % 40 END AS short_name
         FROM events""",
-    "scan_cta_bus_payload": """
-        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id,
-            COUNT(*) AS vehicles, COUNT(*) FILTER (event_id % 97 = 0 OR event_id % 701 = 5)
-                AS errors,
-            COUNT(DISTINCT user_id % 40) FILTER (user_id % 17 <> 0 AND user_id % 40 % 4 <> 0)
-                AS routes
-        FROM events GROUP BY 1""",
-    "scan_cta_train_payload": """
+    "scan_cta_bus_payload": f"""
+        SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id, 'vehicle' AS kind,
+            CASE WHEN user_id % 17 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS rt,
+            CASE WHEN event_id % 29 = 0 THEN ' ' ELSE {_padded('CAST(user_id AS VARCHAR)', 'event_id % 7 = 0')}
+                END AS name,
+            CASE WHEN event_type <> 'click' THEN 'false' WHEN event_id % 2 = 0 THEN 'true' ELSE 'True' END AS dly,
+            CASE WHEN event_id % 5 <> 0 THEN bearing END AS hdg,
+            CASE WHEN event_id % 23 <> 0 THEN latitude END AS lat
+        FROM live_events
+        UNION ALL
+        SELECT CAST(event_id // 100 AS VARCHAR), 'error',
+            CASE WHEN event_id % 701 <> 5 THEN CAST(user_id % 40 AS VARCHAR) END,
+            CASE WHEN event_id % 701 = 5 THEN 'Internal error' ELSE '{CTA_INACTIVE_ROUTE_MESSAGE}' END, NULL, NULL, NULL
+        FROM events WHERE event_id % 97 = 0 OR event_id % 701 = 5
+        UNION ALL
+        SELECT DISTINCT CAST(event_id // 100 AS VARCHAR), 'route', CAST(user_id % 40 AS VARCHAR),
+            'Line ' || user_id % 40, NULL, NULL::DOUBLE, NULL::DOUBLE
+        FROM events WHERE user_id % 17 <> 0 AND user_id % 40 % 4 <> 0""",
+    "scan_cta_train_payload": f"""
         SELECT CAST(event_id // 100 AS VARCHAR) AS payload_id,
             CASE event_id % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'g' ELSE 'pink' END AS line_name,
-            COUNT(*) AS trains
-        FROM events WHERE NOT (event_id // 100 % 13 = 4) GROUP BY 1, 2""",
+            CASE WHEN event_id % 29 = 0 THEN '' ELSE {_padded('CAST(user_id AS VARCHAR)', 'event_id % 7 = 0')}
+                END AS rn,
+            CASE WHEN event_id % 5 <> 0 THEN 'To ' || trip_id END AS "destNm", stop_id AS "nextStpId",
+            CASE WHEN event_id % 3 = 0 THEN '1' ELSE '0' END AS "isApp",
+            CASE WHEN event_id % 7 = 0 THEN 'x' ELSE CAST(user_id % 2 AS VARCHAR) END AS "trDr",
+            CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                ELSE strftime(ts, '%Y%m%d %H:%M:%S') END AS prdt
+        FROM live_events WHERE NOT (event_id // 100 % 13 = 4)""",
     "normalize_mbta": _MBTA_RECORDS,
     "normalize_cta_bus": _BUS_RECORDS,
     "normalize_cta_train": _TRAIN_RECORDS,
@@ -1017,7 +1099,17 @@ FINAL |= {
         SELECT city, alive AS vehicle_count, last_upsert_at, last_vehicle_id, 'at once' AS asked FROM told
         UNION ALL
         SELECT city, 0, last_upsert_at, last_vehicle_id, 'when all are over' FROM told""",
-    "scan_gtfs": f"""
+    "scan_gtfs": "\nUNION ALL ".join(_line(name, *_RAW_LINES[name]) for name in (
+        "stops", "routes", "trips", "stop_times", "shapes")),
+    "scan_osm": _line("roads", *_RAW_LINES["roads"]) + "\nUNION ALL " + _line("pois", *_RAW_LINES["pois"]),
+    "clean_without_city": "\nUNION ALL ".join(
+        f"SELECT 'both' AS city, '{name}' AS dataset, COUNT(*) AS row_count, "
+        f"CAST(SUM(FLOOR({measure})) AS BIGINT) AS measure FROM ({FINAL[f'clean_{name}']})"
+        for name, measure in (
+            ("stops", "location_type"), ("routes", "route_type"), ("trips", "direction_id"),
+            ("stop_times", "stop_sequence"), ("shapes", "shape_pt_sequence"), ("roads", "length_m"), ("pois", "lon"),
+        )),
+    "scan_gtfs_stop_times": f"""
         SELECT {_city('l_orderkey')} AS city,
             CASE WHEN l_partkey % 3 = 0 THEN '  ' || LPAD(CAST(l_orderkey AS VARCHAR), 9, '0') || ' '
                 ELSE LPAD(CAST(l_orderkey AS VARCHAR), 9, '0') END AS trip_id,
@@ -1029,11 +1121,27 @@ FINAL |= {
         FROM lineitem""",
     "scan_calendar": """
         SELECT city, service_id, CAST(service_date AS VARCHAR) AS service_date FROM active_dates""",
-    "scan_osm": """
+    "scan_osm_counts": """
         SELECT city, COUNT(*) AS segments, COUNT(DISTINCT osm_id) AS ids FROM (
             SELECT city, o_orderkey // 2 AS osm_id FROM orders, cities) GROUP BY city""",
     "write_dataset": "SELECT * FROM stop_activity",
-    "legacy_load": """
+    "legacy_load": "\nUNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, COUNT(*) AS row_count, CAST(SUM({measure}) AS BIGINT) AS measure, "
+        f"COUNT(DISTINCT {key}) AS ids FROM {source}"
+        for dataset, measure, key, source in (
+            ("stops", "location_type", "(city, stop_id)", "s_stops"),
+            ("routes", "route_type", "(city, route_id)", "s_routes"),
+            ("trips", "direction_id", "(city, route_id)", "s_trips"),
+            ("stop_times", "stop_sequence", "(city, trip_id)", "s_stop_times"),
+            ("shapes", "shape_pt_sequence", "(city, shape_id)", "s_shapes"),
+            ("stop_activity", "n", "(city, stop_id)",
+             "(SELECT city, stop_id, COUNT(*) AS n FROM s_stop_times GROUP BY ALL)"),
+            ("stop_activity_enriched", "trip_count", "stop_id", f"({FINAL['legacy_stop_activity_enriched']})"),
+            ("route_activity", "distinct_trip_count", "route_id", f"({FINAL['legacy_route_activity']})"),
+            ("stop_activity_by_route", "trip_count", "route_id", f"({FINAL['legacy_stop_activity_by_route']})"),
+            ("route_shapes", "shape_pt_sequence", "route_id", f"({FINAL['legacy_route_shapes']})"),
+        )),
+    "legacy_load_stops": """
         SELECT a.city || '/' || a.stop_id AS STOP_ID, stop_name AS STOP_NAME, stop_lat AS STOP_LAT,
             stop_lon AS STOP_LON, trip_count AS TRIP_COUNT, location_type AS LOCATION_TYPE,
             parent_station AS PARENT_STATION

@@ -1,4 +1,5 @@
-"""Every dataset of a run into the warehouse: clean tables and analytics of all cities."""
+"""Every dataset of a run into the warehouse: clean tables and analytics of all cities, or the ten
+city-less tables of a single city."""
 
 from __future__ import annotations
 
@@ -12,6 +13,20 @@ from transit_engine.sources.files import path_exists, read_dataset
 
 DATASETS = {**CLEAN, **ANALYTICS}
 
+# The warehouse tables of the city-less datasets.
+SINGLE_CITY_TABLES = {
+    "stops": "CLEAN_GTFS_STOPS",
+    "routes": "CLEAN_GTFS_ROUTES",
+    "trips": "CLEAN_GTFS_TRIPS",
+    "stop_times": "CLEAN_GTFS_STOP_TIMES",
+    "shapes": "CLEAN_GTFS_SHAPES",
+    "stop_activity": "ANALYTICS_STOP_ACTIVITY",
+    "stop_activity_enriched": "ANALYTICS_STOP_ACTIVITY_ENRICHED",
+    "route_activity": "ANALYTICS_ROUTE_ACTIVITY",
+    "stop_activity_by_route": "ANALYTICS_STOP_ACTIVITY_BY_ROUTE",
+    "route_shapes": "ANALYTICS_ROUTE_SHAPES",
+}
+
 
 def load_datasets(
     spark: SparkSession,
@@ -36,3 +51,19 @@ def load_datasets(
             tables[dataset] = f"{prefix}{dataset}"
             load_warehouse(warehouse_union(parts), tables[dataset], **options)
     return tables
+
+
+def load_single_city(
+    spark: SparkSession, clean_root: str, analytics_root: str, prefix: str = "", **options
+) -> dict[str, str]:
+    """Full refresh of the ten tables of a single city, from folders that are not cut by city.
+
+    Returns the table of each dataset; one whose folder is missing is left out.
+    """
+    tables = {}
+    for dataset, table in SINGLE_CITY_TABLES.items():
+        folder = f"{clean_root if dataset in CLEAN else analytics_root}/{dataset}"
+        if path_exists(spark, folder):
+            tables[dataset] = f"{prefix}{table}"
+            load_warehouse(warehouse_union([spark.read.parquet(folder)]), tables[dataset], **options)
+    return tables
