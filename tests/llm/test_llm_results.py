@@ -581,3 +581,30 @@ def test_pipeline_stages_keep_the_columns(spark):
     docs = table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(50), SF).dtypes == docs.dtypes
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_sources_come_near_their_targets(spark, scale):
+    """Within 1 % everywhere; in sources of few documents as near as any subset (brute force)."""
+    rows = mixing.mix(table(spark, f"/root/testdata/sf{scale}", "documents")).collect()
+    sources = {}
+    for r in rows:
+        sources.setdefault(r["row"]["source"], []).append(r)
+    few = 0
+    for held in sources.values():
+        target, total = held[0]["target"], held[0]["source_size"]
+        taken = sum(r["size"] * r["repeats"] for r in held)
+        assert all(r["repeats"] <= 2 for r in held)
+        assert abs(taken - target) <= 0.01 * target
+        units = {(r["doc_id"], r["row"]["text"]): 0 for r in held if r["size"]}
+        for r in held:
+            if r["size"]:
+                units[(r["doc_id"], r["row"]["text"])] += r["size"]
+        if len(units) <= mixing.FEW:
+            few += 1
+            sums = {0}
+            for size in units.values():
+                sums |= {s + size for s in sums}
+            part = target - int(target // total) * total
+            assert abs(taken - target) == pytest.approx(min(abs(s - part) for s in sums))
+    assert few or scale != "0.001"

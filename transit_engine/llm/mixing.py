@@ -5,7 +5,8 @@ words. What is clamped goes back to the others in proportion to their weights, u
 its cap. A source's target becomes whole repetitions of all its documents and one fractional
 repetition: documents in a seeded order as long as they fit, then a few times the document whose
 size is nearest to what is still missing. Where that stays far from the target, because of documents
-much longer than the others, the order is gone on with behind each document that doesn't fit.
+much longer than the others, the order is gone on with behind each document that doesn't fit. In a
+source of few documents the fractional repetition is the best of all their subsets.
 
 Only DataFrame functions. A source may hold most rows: it is cut into bins of the seeded order, and
 only the bin in which the target falls is ordered row by row.
@@ -25,7 +26,8 @@ SEED = 7
 BIN_BITS = (10, 10)  # the seeded order of a source is cut into bins, the bin of the target again
 ORDER_BITS = 60
 FILLERS = 5  # times that a document of the size nearest to what is missing is added
-NEAR = 0.05  # a source that misses more of its target sets aside documents one by one instead
+NEAR = 0.01  # a source that misses more of its target sets aside documents one by one instead
+FEW = 12  # documents of a source whose subsets are all looked at
 RANGES = "array<struct<after:bigint,upto:bigint,limit:double>>"
 
 
@@ -193,6 +195,38 @@ def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
     That is what comes up to ``edge``, or in sources with ``ranges`` what lies in one of them, and
     ``fillers``.
     """
+    counts = units.groupBy("skey").agg(F.count(F.lit(1)).alias("n"))
+    few = saved(counts.where(F.col("n") <= FEW).select("skey"), "few")
+    best = _best_subsets(units.join(few, "skey"), targets)
+    return best.unionByName(_many_cuts(units.join(few, "skey", "left_anti"), targets))
+
+
+def _best_subsets(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """The cuts of sources of few documents: of all subsets the one whose size is nearest to the part
+    to be filled, of a tie the first in the seeded order."""
+    documents = F.array_sort(F.collect_list(F.struct("u", "size")))
+    listed = units.groupBy("skey").agg(documents.alias("documents")).join(
+        targets.select("skey", "part"), "skey"
+    )
+
+    def with_document(subsets: Column, d: Column) -> Column:
+        return F.concat(subsets, F.transform(subsets, lambda s: F.struct(
+            (s["held"] + d["size"]).alias("held"), F.concat(s["us"], F.array(d["u"])).alias("us")
+        )))
+
+    none = F.array(F.struct(F.lit(0).cast("long").alias("held"), F.array().cast("array<bigint>").alias("us")))
+    best = F.array_min(F.transform(
+        F.aggregate("documents", none, with_document),
+        lambda s: F.struct(F.abs(s["held"] - F.col("part")).alias("off"), s["us"].alias("us")),
+    ))
+    return listed.select(
+        "skey", F.lit(-1).cast("long").alias("edge"), best["us"].alias("fillers"),
+        F.array().cast(RANGES).alias("ranges"),
+    )
+
+
+def _many_cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """The cuts of sources of many documents."""
     edges = _prefix(units, targets)
     cuts = edges.withColumn("fillers", F.array().cast("array<bigint>"))
     off = F.abs(F.col("size") - F.col("gap"))
