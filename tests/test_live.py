@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -212,3 +213,36 @@ def test_cities_are_told_apart_when_records_are_deduped(spark):
         "city string, vehicle_id string, updated_at timestamp, payload_id string, n int",
     ).withColumn("feed_timestamp", F.col("updated_at"))
     assert rows(live.dedupe_latest(records, ["payload_id"]), "n") == [(1,), (2,), (5,)]
+
+
+def mbta_document(n):
+    """n vehicles and n routes, each vehicle on a route of its own, the first route listed twice."""
+    vehicles = ",".join(
+        f'{{"id":"v{k}","attributes":{{"latitude":1,"longitude":2}},'
+        f'"relationships":{{"route":{{"data":{{"id":"r{n - 1 - k}"}}}}}}}}' for k in range(n)
+    )
+    routes = [f'{{"type":"route","id":"r{k}","attributes":{{"short_name":"S{k}"}}}}' for k in range(n)]
+    routes += ['{"type":"route","id":"r0","attributes":{"short_name":"last"}}', '{"type":"stop","id":"r1"}']
+    return f'{{"data":[{vehicles}],"included":[{",".join(routes)}]}}'
+
+
+def test_large_documents_look_routes_up_in_linear_time(spark):
+    took = []
+    for n in (20_000, 20_000, 80_000):  # the first is for warming up
+        document = spark.createDataFrame([("1", mbta_document(n))], "payload_id string, body string")
+        began = time.perf_counter()
+        found = payloads.scan_mbta_payload(document).select(
+            F.count("*"), F.count("route"), F.count_if(F.col("route.attributes.short_name") == "last")
+        ).first()
+        took.append(time.perf_counter() - began)
+        assert tuple(found) == (n, n, 1)
+    assert took[2] < 8 * max(took[1], 0.5)
+
+
+def test_lookup_by_join_equals_lookup_in_place(spark):
+    bodies = [mbta_document(5), '{"data":[]}', None, "no json", '{"data":[{"id":"x"}],"included":[]}']
+    documents = spark.createDataFrame(list(enumerate(bodies)), "payload_id int, body string")
+    names = ("payload_id", "item_no", F.col("vehicle.id"), F.col("route.attributes.short_name"))
+    in_place, joined = (payloads.scan_mbta_payload(documents, large) for large in (10**9, -1))
+    assert rows(in_place, *names) == rows(joined, *names)
+    assert in_place.count() == 6

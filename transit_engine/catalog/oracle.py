@@ -753,9 +753,15 @@ FINAL |= {
         FROM {_CITY_ROWS} JOIN overview o ON o.city = d.city
         JOIN route_activity a ON a.city = d.city
         WHERE (a.city, a.route_id) IN {_FEATURED}""",
-    "records_normalise": f"""
-        SELECT city, stop_id, {_rounded('nearest_hospital_m', 3)} AS nearest_hospital_m
-        FROM stop_poi_access""",
+    "bootstrap_contents": f"""
+        {_DASHBOARD}
+        UNION ALL (SELECT city, 'routes', 0, route_id, CAST(stop_event_count AS DOUBLE) FROM route_activity
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY city ORDER BY {_ORDERS['catalog']}) <= 500)
+        UNION ALL SELECT r.city, 'preview:' || r.route_id, CAST(r.stop_rank AS INTEGER), r.stop_id,
+            CAST(r.trip_count AS DOUBLE)
+        FROM ranked_stops r JOIN route_activity a ON a.city = r.city AND a.route_id = r.route_id
+        WHERE r.stop_rank <= 12""",
+    "records_normalise": FINAL["stop_poi_access"],
     "route_stop_rollup": _ROLLUP,
     "share_of_total": f"""
         SELECT city, poi_group, {_rounded('n / t', 6)} AS share,

@@ -572,13 +572,27 @@ def bootstrap_snapshot(s: Surrogate) -> DataFrame:
 
 
 @query
-def records_normalise(s: Surrogate) -> DataFrame:
-    """Warehouse-style names; NaN where a distance is missing."""
-    warehouse = s.stop_poi_access.select(
-        F.col("city").alias("CITY"), F.col("stop_id").alias("STOP_ID"),
-        F.coalesce("nearest_hospital_m", F.lit(float("nan"))).alias("NEAREST_HOSPITAL_M"),
+def bootstrap_contents(s: Surrogate) -> DataFrame:
+    """What the bundle holds for all cities: dashboard entries, catalogs and the stops of previews."""
+    parts = snapshot.bootstrap_snapshot(s.written)
+    catalog = parts["routes"].select(
+        "city", F.lit("routes").alias("section"), F.lit(0).alias("position"), F.col("route_id").alias("item"),
+        F.col("stop_event_count").cast("double").alias("value"),
     )
-    return metres(serving.records_normalise(warehouse), "nearest_hospital_m")
+    previews = parts["route_previews"].select("city", "route_id", F.explode("stops").alias("stop")).select(
+        "city", F.concat(F.lit("preview:"), "route_id").alias("section"), F.col("stop.stop_rank").alias("position"),
+        F.col("stop.stop_id").alias("item"), F.col("stop.trip_count").cast("double").alias("value"),
+    )
+    return _stacked([_dashboard_rows(parts["dashboard"]), catalog, previews])
+
+
+@query
+def records_normalise(s: Surrogate) -> DataFrame:
+    """A whole table with warehouse-style names; NaN where a distance is missing."""
+    missing = {n: F.coalesce(n, F.lit(float("nan"))) for n in access.ACCESS_DISTANCES}
+    warehouse = s.stop_poi_access.withColumns(missing)
+    named = warehouse.toDF(*[name.upper() for name in warehouse.columns])
+    return access_metres(serving.records_normalise(named))
 
 
 # Presentation.

@@ -1,7 +1,8 @@
 """Landed feed responses: one JSON document per row, in the column ``body``.
 
 Every value is read as text (a number keeps its digits) and cast where it is used, so that one
-odd value costs that value and not its document. Documents are exploded in place, no shuffle.
+odd value costs that value and not its document. Documents are exploded in place, without a shuffle
+but for very large ones.
 A ``payload_id`` says which response a row came from and ``item_no`` its place in it.
 """
 
@@ -57,16 +58,31 @@ def _items(df: DataFrame, items: Column, name: str = "item") -> DataFrame:
     return df.select("payload_id", F.posexplode(items).alias("item_no", name))
 
 
-def scan_mbta_payload(payloads: DataFrame) -> DataFrame:
+# Documents of more characters look routes up by a join; in smaller ones an array search is short.
+LARGE_DOCUMENT = 256_000
+
+
+def scan_mbta_payload(payloads: DataFrame, large: int = LARGE_DOCUMENT) -> DataFrame:
     """One row per vehicle with the route it names, looked up in the same document.
 
-    The lookup is an array search within the row; where a route is listed twice the last counts.
+    Where a route is listed twice the last counts. In documents of up to ``large`` characters the
+    lookup is an array search within the row, without a shuffle. That takes (vehicles x routes)
+    steps, so in larger ones both are rows and joined, which takes time in proportion to their number.
     """
-    parsed = payloads.select("payload_id", F.from_json("body", _MBTA).alias("doc"))
-    routes = parsed.select(
+    size = F.coalesce(F.length("body"), F.lit(0))
+    return _found_in_place(payloads.where(size <= large)).unionByName(
+        _found_by_join(payloads.where(size > large))
+    )
+
+
+def _routes_and_vehicles(payloads: DataFrame) -> DataFrame:
+    return payloads.select("payload_id", F.from_json("body", _MBTA).alias("doc")).select(
         "payload_id", "doc.data",
         F.filter("doc.included", lambda item: item["type"] == "route").alias("routes"),
     )
+
+
+def _found_in_place(payloads: DataFrame) -> DataFrame:
     with_route = F.transform(
         "data",
         lambda vehicle: F.struct(
@@ -80,7 +96,24 @@ def scan_mbta_payload(payloads: DataFrame) -> DataFrame:
             ).alias("route"),
         ),
     )
-    return _items(routes, with_route).select("payload_id", "item_no", "item.vehicle", "item.route")
+    return _items(_routes_and_vehicles(payloads), with_route).select(
+        "payload_id", "item_no", "item.vehicle", "item.route"
+    )
+
+
+def _found_by_join(payloads: DataFrame) -> DataFrame:
+    parsed = _routes_and_vehicles(payloads)
+    routes = (
+        parsed.select("payload_id", F.posexplode("routes").alias("place", "route"))
+        .groupBy("payload_id", F.col("route.id").alias("route_id"))
+        .agg(F.max_by("route", "place").alias("route"))
+    )
+    vehicles = _items(parsed, F.col("data"), "vehicle").withColumn(
+        "route_id", F.col("vehicle.relationships.route.data.id")
+    )
+    return vehicles.join(routes, ["payload_id", "route_id"], "left").select(
+        "payload_id", "item_no", "vehicle", "route"
+    )
 
 
 def scan_cta_bus_payload(payloads: DataFrame) -> DataFrame:
