@@ -169,3 +169,10 @@ def test_messages_are_put_back(spark):
     messages = spark.createDataFrame([(1, value), (2, value), (2, value)], "seq long, value string")
     accepted = spark.createDataFrame([("b", "v", 2, 5)], "city string, vehicle_id string, seq long, ts_ms long")
     assert rows(with_payload(accepted, messages)) == [("b", "v", 2, 5, value)]
+
+
+def test_a_table_of_one_slot(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    for number in range(4):
+        state_table.live_state_upsert(folder, None, lambda: NOON, 1)(batch_of(spark, ("b", f"v{number % 3}", number)), number)
+    assert rows(state_table.read_state(spark, folder), "vehicle_id", "seq") == [("v0", 3), ("v1", 1), ("v2", 2)]

@@ -110,7 +110,7 @@ def read_rows(
         return spark.createDataFrame([], schema)
     bases = _bases(spark, folder, batches[-1])
     oldest = min(bases.values()) if len(bases) == _slots(spark, folder) else -1
-    deltas = [f"{folder}/deltas/batch={b}" for b in batches if b > oldest]
+    deltas = [f"{folder}/deltas/batch={b}" for b in batches if b > oldest or b == batches[-1]]
     reader = spark.read.schema(f"{schema}, {_PLACE}, batch long").option("basePath", f"{folder}/deltas")
     # Which deltas a slot still needs is decided on folder names.
     newer = F.lit(True)
