@@ -132,3 +132,25 @@ CTA_ZONE = "America/Chicago"
 CTA_BUS_TIME_FORMATS = ("yyyyMMdd HH:mm:ss", "yyyyMMdd HH:mm")
 CTA_TRAIN_TIME_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyyMMdd HH:mm:ss")
 CTA_INACTIVE_ROUTE_MESSAGE = "No data found for parameter"
+
+# Display texts of what lies around a stop, in the order of the counts.
+DAILY_NEEDS = ["food options", "schools, healthcare, or groceries", "park/garden/play features"]
+NO_DAILY_NEEDS = "No matched daily-needs POIs within 400m"
+
+# Display texts of a vehicle's status, and those of city buses where they differ.
+VEHICLE_STATUS = {
+    "IN_TRANSIT_TO": "In transit", "STOPPED_AT": "Stopped", "INCOMING_AT": "Approaching stop",
+}
+CITY_BUS_STATUS = {"STOPPED_AT": "Delayed"}
+OTHER_STATUS = "Unknown"
+OTHER_CITY_BUS_STATUS = "Reporting live"
+
+# From this share of the largest on, this tier.
+AVAILABILITY_TIERS = [(0.82, "very high"), (0.55, "high"), (0.28, "moderate")]
+# Above this share of the largest, this step.
+LENS_STEPS = [(0.75, 3), (0.45, 2), (0.2, 1)]
+# Below this number of trips, this tier.
+TRIP_COUNT_TIERS = [(500, "lower"), (1000, "medium"), (1500, "high")]
+# Map zoom for extents above this size in degrees.
+ZOOM_LEVELS = [(0.7, 9.6), (0.45, 10.3), (0.2, 11.0), (0.08, 11.8), (0.03, 12.8)]
+SMALLEST_ZOOM = 12.3

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from transit_engine.constants import (
     AMENITY_GROUP_LABELS,
+    CITY_BUS_STATUS,
+    DAILY_NEEDS,
+    NO_DAILY_NEEDS,
+    OTHER_CITY_BUS_STATUS,
+    OTHER_STATUS,
     POI_CATEGORY_LABELS,
     ROUTE_TYPE_LABELS,
+    VEHICLE_STATUS,
 )
 
 
@@ -64,26 +70,17 @@ def daily_needs_text(food: Column, critical: Column, park: Column) -> Column:
     def phrase(count: Column, noun: str) -> Column:
         return F.when(count > 0, F.concat(F.format_number(count, 0), F.lit(f" {noun}")))
 
-    return F.coalesce(
-        joined(
-            " · ",
-            phrase(food, "food options"),
-            phrase(critical, "schools, healthcare, or groceries"),
-            phrase(park, "park/garden/play features"),
-        ),
-        F.lit("No matched daily-needs POIs within 400m"),
-    )
+    phrases = [phrase(count, noun) for count, noun in zip((food, critical, park), DAILY_NEEDS)]
+    return F.coalesce(joined(" · ", *phrases), F.lit(NO_DAILY_NEEDS))
 
 
 def vehicle_status_text(status: Column, city: Column, route_type: Column) -> Column:
+    def told(texts: dict[str, str], other: str) -> Column:
+        return F.coalesce(*[F.when(status == name, text) for name, text in texts.items()], F.lit(other))
+
     city_bus = (city == "chicago") & (route_type == 3)
-    return (
-        F.when(status == "IN_TRANSIT_TO", "In transit")
-        .when((status == "STOPPED_AT") & city_bus, "Delayed")
-        .when(status == "STOPPED_AT", "Stopped")
-        .when(status == "INCOMING_AT", "Approaching stop")
-        .when(city_bus, "Reporting live")
-        .otherwise("Unknown")
+    return F.when(city_bus, told(VEHICLE_STATUS | CITY_BUS_STATUS, OTHER_CITY_BUS_STATUS)).otherwise(
+        told(VEHICLE_STATUS, OTHER_STATUS)
     )
 
 

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from transit_engine.constants import (
+    AVAILABILITY_TIERS,
+    LENS_STEPS,
+    SMALLEST_ZOOM,
+    TRIP_COUNT_TIERS,
+    ZOOM_LEVELS,
+)
+
+
+def _first(cuts: Sequence[tuple], met: Callable[[float], Column], otherwise) -> Column:
+    """The value of the first cut that is met."""
+    return F.coalesce(*[F.when(met(cut), value) for cut, value in cuts], F.lit(otherwise))
+
 
 def share_of(value: Column, total: Column) -> Column:
     """value / total; 0 where the total is 0 or missing."""
@@ -12,12 +27,7 @@ def share_of(value: Column, total: Column) -> Column:
 
 
 def availability_tier(ratio: Column) -> Column:
-    return (
-        F.when(ratio >= 0.82, "very high")
-        .when(ratio >= 0.55, "high")
-        .when(ratio >= 0.28, "moderate")
-        .otherwise("lower")
-    )
+    return _first(AVAILABILITY_TIERS, lambda cut: ratio >= cut, "lower")
 
 
 def lens_score(lens: str, poi_count: Column, avg_daily: Column, trip_count: Column) -> Column:
@@ -30,25 +40,13 @@ def lens_score(lens: str, poi_count: Column, avg_daily: Column, trip_count: Colu
 
 def lens_score_tier(ratio: Column) -> Column:
     """Four steps, 3 the highest; every cut is exclusive."""
-    return F.when(ratio > 0.75, 3).when(ratio > 0.45, 2).when(ratio > 0.2, 1).otherwise(0)
+    return _first(LENS_STEPS, lambda cut: ratio > cut, 0)
 
 
 def trip_count_tier(trip_count: Column) -> Column:
-    return (
-        F.when(trip_count < 500, "lower")
-        .when(trip_count < 1000, "medium")
-        .when(trip_count < 1500, "high")
-        .otherwise("very high")
-    )
+    return _first(TRIP_COUNT_TIERS, lambda cut: trip_count < cut, "very high")
 
 
 def zoom_bucket(span: Column) -> Column:
     """Map zoom for the larger side, in degrees, of an extent."""
-    return (
-        F.when(span > 0.7, 9.6)
-        .when(span > 0.45, 10.3)
-        .when(span > 0.2, 11.0)
-        .when(span > 0.08, 11.8)
-        .when(span > 0.03, 12.8)
-        .otherwise(12.3)
-    )
+    return _first(ZOOM_LEVELS, lambda cut: span > cut, SMALLEST_ZOOM)

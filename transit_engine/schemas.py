@@ -1,4 +1,7 @@
-"""Table contracts as DDL strings: raw text, clean, analytics and live records."""
+"""Table contracts as DDL strings: raw text, clean, analytics and live records.
+
+Fixed values throughout: names, order and types of columns are what tables are exchanged by.
+"""
 
 from __future__ import annotations
 
