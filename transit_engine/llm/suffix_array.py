@@ -88,25 +88,31 @@ def _induced_by_bucket(text: np.ndarray, rising: np.ndarray, seeds: np.ndarray,
 def _induced_one_by_one(text: np.ndarray, rising: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
     """The same for many letters: one position after the other."""
     starts, n = _starts(text, letters), len(text)
-    letter_of, is_rising = text.tolist(), rising.tolist()
-    order, tail = [-1] * n, starts[1:].tolist()
-    for position in reversed(seeds.tolist()):
-        letter = letter_of[position]
-        tail[letter] -= 1
-        order[tail[letter]] = position
+    # The letter ahead of each position if that falls (or rises), else -1; n stands for no position.
+    ahead = np.concatenate([[-1], text[:-1], [-1]])
+    rises = np.concatenate([[False], rising[:-1], [False]])
+    falling_letter = np.where(rises, -1, ahead).tolist()
+    rising_letter = np.where(rises, ahead, -1).tolist()
+    order, tail = [n] * n, starts[1:].tolist()
+    for position, letter in zip(seeds[::-1].tolist(), text[seeds[::-1]].tolist()):
+        place = tail[letter] - 1
+        order[place] = position
+        tail[letter] = place
     head = starts[:-1].tolist()
     for position in order:
-        if position > 0 and not is_rising[position - 1]:
-            letter = letter_of[position - 1]
-            order[head[letter]] = position - 1
-            head[letter] += 1
+        letter = falling_letter[position]
+        if letter >= 0:
+            place = head[letter]
+            order[place] = position - 1
+            head[letter] = place + 1
     tail = starts[1:].tolist()
     for i in range(n - 1, -1, -1):
         position = order[i]
-        if position > 0 and is_rising[position - 1]:
-            letter = letter_of[position - 1]
-            tail[letter] -= 1
-            order[tail[letter]] = position - 1
+        letter = rising_letter[position]
+        if letter >= 0:
+            place = tail[letter] - 1
+            order[place] = position - 1
+            tail[letter] = place
     order[0] = n - 1
     return np.array(order, np.int64)
 

@@ -11,7 +11,7 @@ A byte goes if a string of ``min_bytes`` that covers it starts anywhere else too
    distinct pieces is split: a half takes the windows to the left, a half those to the right, and
    pieces that differ in what all windows of a half have in common part. Halving goes on while
    groups are crowded and ends at single windows, which are all equal or apart.
-4. A shard is a few million bytes of whole groups. Its suffix array is sorted by inducing, permuted
+4. A shard is a mebibyte or somewhat more of whole groups. Its suffix array is sorted by inducing, permuted
    common prefixes of neighbours tell which windows occur twice.
 5. Repeated windows go back to all places of their piece, and the covered bytes are cut out.
 
@@ -36,7 +36,7 @@ from transit_engine.llm.suffix_array import permuted_prefixes, suffix_array
 MIN_BYTES = 400
 GRAM = 64
 CHUNK = 1 << 20  # bytes of text looked at together
-SHARD = 2 << 20  # bytes of pieces in one suffix array
+SHARD = 1 << 20  # bytes of pieces in one suffix array
 CROWD = 200  # distinct pieces of a group
 _PLACE_BITS = np.uint64((1 << 22) - 1)
 _MIX = np.uint64(0x9FB21C651E98DF25)
@@ -302,7 +302,7 @@ def _piece_marks(bodies: DataFrame, min_bytes: int, crowd: int) -> DataFrame:
         todo = todo.unionByName(more.select(*columns))
     todo = saved(todo, "suffix-shards")
     size = todo.agg(F.sum(F.length("body"))).first()[0] or 0
-    marks = saved(_shard_marks(todo, max(1, math.ceil(size / (4 * SHARD))), min_bytes), "suffix-marks")
+    marks = saved(_shard_marks(todo, max(1, math.ceil(size / (8 * SHARD))), min_bytes), "suffix-marks")
     for halves, twice in zip(maps[::-1], known[::-1]):
         found = marks.unionByName(twice)
         up = found.join(halves, PIECE).select(F.col("from1").alias("p1"), F.col("from2").alias("p2"), "low", "high")
