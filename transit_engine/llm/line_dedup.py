@@ -16,6 +16,7 @@ from transit_engine.llm.common import saved, text_of
 MIN_SITES = 5
 LG_BUCKETS = 10
 NEAR = 0.5  # estimates within this share of the threshold are counted exactly
+SENT_HASHES = 500_000  # hashes of lines that are sent to the lines, a few dozen megabytes
 
 
 def trimmed(line: Column) -> Column:
@@ -36,6 +37,15 @@ def line_table(docs: DataFrame, site: str = "source") -> DataFrame:
     )
 
 
+def _listed(lines: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The lines whose hash is in a written list.
+
+    The list is counted: a short one is sent to the lines, which stay where they are, however common
+    one of them is; a long one is joined, and adaptive execution splits a common line.
+    """
+    return lines.join(F.broadcast(hashes) if hashes.count() <= SENT_HASHES else hashes, "h", "left_semi")
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, near: float = NEAR) -> DataFrame:
     """h, sites of the lines on at least ``min_sites`` sites; sites counted exactly near it."""
     sketches = lines.groupBy("h").agg(
@@ -49,10 +59,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, near: float = NEAR
         "line-spread",
     )
     far = F.col("sites") > min_sites * (1 + near)
-    counted = (
-        lines.join(spread.where(~far).select("h"), "h", "left_semi")
-        .groupBy("h").agg(F.countDistinct("site").alias("sites")).where(F.col("sites") >= min_sites)
-    )
+    # Lines of one site fold in the map tasks, so that a common line brings a row per task and site.
+    per_site = _listed(lines.select("h", "site"), spread.where(~far).select("h")).distinct()
+    counted = per_site.groupBy("h").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
     return spread.where(far).unionByName(counted)
 
 
@@ -68,7 +77,7 @@ def without_boilerplate(
     lines = saved(line_table(docs, site), "lines")
     spread = saved(boilerplate(lines, min_sites).select("h"), "boilerplate")
     cut = saved(
-        lines.join(spread, "h").groupBy("doc_id", "text_key")
+        _listed(lines, spread).groupBy("doc_id", "text_key")
         .agg(F.collect_set("place").alias("cut")),
         "line-cuts",
     )
