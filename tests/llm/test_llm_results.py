@@ -3,6 +3,7 @@
 import hashlib
 import re
 import textwrap
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -152,16 +153,46 @@ def test_exact_dedup_with_colliding_hashes_and_small_buckets(spark, texts):
     assert max(r["link"] for r in rows) > 1
 
 
-def test_directory_splits_only_overfull_buckets(spark):
-    # Half of all hashes begin with the same 8 bits.
-    hashes = [(i << 45) for i in range(1000)] + [(i * 0x9E3779B97F4A7C15) % (1 << 64) for i in range(1000)]
-    entries = spark.createDataFrame([(h - (1 << 64) if h >> 63 else h,) for h in hashes], "h long")
-    slots, bits = exact_dedup.directory(entries, 100)
-    placed = entries.withColumn("cell", exact_dedup.cell_of(F.col("h"), bits)).join(slots, "cell")
-    held = placed.groupBy("bucket", "depth").count().collect()
-    assert sum(r["count"] for r in held) == 2000
-    assert all(r["count"] <= 100 or r["depth"] == bits for r in held)
-    assert len({r["depth"] for r in held}) > 1
+def test_directory_is_doubled_until_no_bucket_is_overfull(spark):
+    # Half of all hashes begin with the same 8 bits, a quarter differs in the last 9 only.
+    hashes = [(i << 45) for i in range(1000)] + [(i * 0x9E3779B97F4A7C15) % (1 << 64) for i in range(1, 1001)]
+    hashes += [(0xABCD << 48) + i for i in range(500)]
+    hashes = spark.createDataFrame([(h - (1 << 64) if h >> 63 else h,) for h in hashes], "h long").distinct()
+    levels = exact_dedup.directory(hashes, 100)
+    assert len(levels) > 1
+    rows = [tuple(r) for r in exact_dedup.in_buckets(hashes, levels).select("bucket", "h").collect()]
+    assert len(rows) == hashes.count() and all(bucket is not None for bucket, _ in rows)
+    depths = {}
+    for _, slots in levels:
+        for r in slots.collect():
+            assert depths.setdefault(r["bucket"], r["depth"]) == r["depth"]
+    held = Counter(bucket for bucket, _ in rows)
+    assert max(held.values()) <= 100 and len({depths[b] for b in held}) > 2
+    # A bucket is the range of hashes that begin with its bits, and none could be merged with its other half.
+    for bucket, h in rows:
+        assert (bucket ^ h) % (1 << 64) >> (64 - depths[bucket]) == 0
+    for bucket, depth in depths.items():
+        other = (bucket % (1 << 64)) ^ (1 << (64 - depth)) if depth else None
+        if other is not None:
+            top = 65 - depth
+            both = sum(h % (1 << 64) >> top == bucket % (1 << 64) >> top for _, h in rows)
+            assert both > 100
+
+
+def test_exact_groups_come_from_the_pages(spark, monkeypatch):
+    """Frequent texts are folded first, others compared by their owners; without pages no rows."""
+    docs = spark.createDataFrame(
+        [(i, "many  copies") for i in range(500, 0, -1)] + [(1000 + i, f"text {i // 3}") for i in range(300)],
+        "doc_id long, text string",
+    ).repartition(4)
+    for hashed in (F.xxhash64, lambda body: F.lit(7)):
+        rows = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(docs, hashed, 10).collect()}
+        want = {i: (1, 500, i == 1) for i in range(1, 501)}
+        want |= {1000 + i: (1000 + i - i % 3, 3, i % 3 == 0) for i in range(300)}
+        assert rows == want
+    made = exact_dedup.index_pages
+    monkeypatch.setattr(exact_dedup, "index_pages", lambda *args: made(*args).where("group_size > 3"))
+    assert {r["keep_id"] for r in exact_dedup.exact_groups(docs).collect()} == {1}
 
 
 def test_language_of_held_out_documents(spark):

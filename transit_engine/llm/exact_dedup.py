@@ -1,16 +1,17 @@
 """Exact deduplication over an extendible-hash index on shared files.
 
-1. Every row gets the hash of its normalised text. Rows are folded by (hash, text): Spark compares
-   the bytes of the texts wherever hashes meet, in the map tasks before the shuffle, so that a
-   group of copies of any size arrives as one row per map task.
-2. What is left, one entry per distinct text, is indexed. The directory starts with one bucket;
-   a bucket that holds more than ``capacity`` entries is split by one more bit of the hash, which
-   doubles the directory until no bucket is overfull. Entries of one hash can't be told apart by
-   more bits: they form a chain within their bucket, in the order of ``keep_id``.
-3. Owner tasks take ranges of buckets and write them as sorted pages below the shared folder.
-4. Each row finds its entry by hash and digest.
-
-Only DataFrame functions; the texts cross one shuffle, folded.
+1. Every row gets the hash of its normalised text, kept with its digest as a narrow written table.
+2. The directory is made over the distinct hashes. It starts with one bucket; a bucket that holds
+   more than ``capacity`` hashes is split by one more bit, which doubles the directory, until no
+   bucket is overfull. One count settles all doublings up to the depth that evenly spread hashes
+   need; what is overfull beyond is split on in further rounds. A bucket is a range of hashes.
+3. The texts are sent to the owner tasks of their buckets, once. An owner compares bytes along the
+   chain of each hash, so that equal texts become one entry, and writes its buckets as sorted
+   pages. Texts of very frequent hashes are folded in the map tasks before, so that a group of
+   copies of any size reaches its owner as one row.
+4. Each row finds its entry by directory, page and chain: bucket, hash and digest.
+
+Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from pyspark.sql import functions as F
 
 from transit_engine.llm.common import GAP, saved, text_of
 
-CAPACITY = 100_000
-MAX_DEPTH = 20  # the directory has at most 2**20 slots, whatever the input
+CAPACITY = 500  # hashes of a bucket
+SENT_SLOTS = 4_000_000  # a level of the directory is sent to all tasks up to here, and joined beyond
+# A hash is frequent from this many rows on, or this share of all rows, so at most 100,000 are.
+FREQUENT, FREQUENT_SHARE = 100, 100_000
+
+Directory = list[tuple[int, DataFrame]]
 
 
 def normalised(column: str = "text") -> Column:
@@ -36,40 +41,89 @@ def cell_of(hashed: Column, depth: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
-    """The directory over a column ``h``: (cell, depth, bucket), and the bits of a cell.
+def _bits_for(n: int, capacity: int) -> int:
+    """Bits that part ``n`` evenly spread hashes into buckets, and two more for uneven ones."""
+    return max(0, math.ceil(math.log2(max(n, 1) / capacity))) + 2
+
+
+def directory(hashes: DataFrame, capacity: int = CAPACITY) -> Directory:
+    """Levels of the directory over distinct hashes ``h``: (bits, slots), slots (cell, depth, bucket).
 
-    ``depth`` is the number of bits that the cell's bucket is told apart by, ``bucket`` the first
-    cell of that bucket. Several cells share a bucket of few entries.
+    ``cell`` is the first ``bits`` bits of a hash, ``depth`` the number of bits that its bucket is told
+    apart by, ``bucket`` the first hash of that bucket. Several cells share a bucket of few hashes. A
+    cell that is still overfull has no slot; its hashes are in the next level. At 64 bits a cell
+    holds one hash, so no bucket is left overfull.
     """
-    n = entries.count()
-    bits = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(n, 1) / capacity))) + 3)
-    cells = entries.groupBy(cell_of(F.col("h"), bits).alias("cell")).agg(F.count("*").alias("n"))
-    levels = cells.select(
-        "cell", "n", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("depth")
-    ).withColumn("slot", F.expr(f"shiftright(cell, {bits} - depth)"))
-    fitting = levels.groupBy("depth", "slot").agg(F.sum("n").alias("held")).where(
-        (F.col("held") <= capacity) | (F.col("depth") == bits)
+    levels: Directory = []
+    low, bits, left = 0, min(64, _bits_for(hashes.count(), capacity)), hashes
+    while True:
+        cells = saved(
+            left.groupBy(cell_of(F.col("h"), bits).alias("cell")).agg(F.count("*").alias("n")), "cells"
+        )
+        doublings = cells.select(
+            "cell", "n", F.explode(F.sequence(F.lit(low), F.lit(bits))).alias("depth")
+        ).withColumn("slot", F.expr(f"shiftrightunsigned(cell, {bits} - depth)"))
+        fitting = doublings.groupBy("depth", "slot").agg(F.sum("n").alias("held")).where(
+            F.col("held") <= capacity
+        )
+        depths = doublings.join(fitting, ["depth", "slot"]).groupBy("cell").agg(
+            F.min("depth").alias("depth")
+        )
+        bucket = F.expr(f"shiftleft(shiftrightunsigned(cell, {bits} - depth), 64 - depth)")
+        levels.append((bits, saved(depths.select("cell", "depth", bucket.alias("bucket")), "directory")))
+        if bits == 64:
+            return levels
+        overfull = cells.where(F.col("n") > capacity)
+        worst = overfull.agg(F.max("n")).first()[0]
+        if worst is None:
+            return levels
+        left = left.withColumn("cell", cell_of(F.col("h"), bits)).join(
+            overfull.select("cell"), "cell", "left_semi"
+        ).select("h")
+        low, bits = bits + 1, min(64, bits + _bits_for(worst, capacity))
+
+
+def in_buckets(rows: DataFrame, levels: Directory) -> DataFrame:
+    """``rows`` with the bucket of their hash ``h``, found in the directory."""
+    names = []
+    for bits, slots in levels:
+        level = slots.select(
+            F.col("cell").alias(f"cell_{bits}"), F.col("bucket").alias(f"bucket_{bits}")
+        )
+        if slots.count() <= SENT_SLOTS:
+            level = F.broadcast(level)
+        rows = rows.withColumn(f"cell_{bits}", cell_of(F.col("h"), bits))
+        rows = rows.join(level, f"cell_{bits}", "left").drop(f"cell_{bits}")
+        names.append(f"bucket_{bits}")
+    return rows.withColumn("bucket", F.coalesce(*names)).drop(*names)
+
+
+def index_pages(rows: DataFrame, counts: DataFrame, levels: Directory) -> DataFrame:
+    """The distinct texts as written pages: (bucket, h, link, text_sha256, keep_id, group_size).
+
+    ``rows`` has doc_id, h and body, ``counts`` the number of rows per hash (h, n). Owner tasks take
+    buckets whole; links of a chain are told apart by their bytes.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = saved(
+        counts.where(F.col("n") > max(FREQUENT, total // FREQUENT_SHARE)).select("h"), "frequent"
     )
-    depths = levels.join(fitting, ["depth", "slot"]).groupBy("cell").agg(
-        F.min("depth").alias("depth")
+    single = rows.select("h", "body", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
+    if not frequent.isEmpty():
+        told = F.broadcast(frequent)  # at most FREQUENT_SHARE rows
+        folded = single.join(told, "h", "left_semi").groupBy("h", "body").agg(
+            F.min("keep_id").alias("keep_id"), F.sum("n").alias("n")
+        )
+        single = single.join(told, "h", "left_anti").unionByName(folded)
+    entries = (
+        in_buckets(single, levels).repartition("bucket").groupBy("bucket", "h", "body")
+        .agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+        .select("bucket", "h", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size")
     )
-    start = F.expr(f"shiftleft(shiftright(cell, {bits} - depth), {bits} - depth)")
-    return depths.select("cell", "depth", start.alias("bucket")), bits
-
-
-def index_pages(entries: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The entries as written pages: (bucket, depth, h, link, ...), sorted within owner tasks."""
-    slots, bits = directory(entries, capacity)
-    slots = saved(slots, "directory")
-    placed = entries.withColumn("cell", cell_of(F.col("h"), bits)).join(slots, "cell").drop("cell")
     chain = Window.partitionBy("bucket", "h").orderBy(
         F.col("keep_id").asc_nulls_last(), "text_sha256"
     )
-    owned = placed.repartitionByRange("bucket", "h").withColumn(
-        "link", F.row_number().over(chain)
-    )
-    return saved(owned.sortWithinPartitions("bucket", "h", "link"), "index-pages")
+    return saved(entries.withColumn("link", F.row_number().over(chain)), "index-pages")
 
 
 def exact_groups(
@@ -86,19 +140,14 @@ def exact_groups(
     columns are not looked at. An empty table gives an empty result. ``link`` is the place of the
     text in the chain of its hash, 1 unless two texts share a hash.
     """
-    rows = docs.select("doc_id", normalised().alias("body")).withColumn("h", hashed(F.col("body")))
-    keys = saved(rows.select("doc_id", "h", F.sha2("body", 256).alias("text_sha256")), "text-keys")
-    texts = rows.groupBy("h", "body").agg(
-        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")
-    )
-    entries = saved(
-        texts.select("h", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size"),
-        "text-entries",
-    )
-    pages = index_pages(entries, capacity)
-    found = keys.join(
-        pages.select("h", "text_sha256", "keep_id", "group_size", "link"), ["h", "text_sha256"]
+    rows = docs.select("doc_id", normalised().alias("body")).withColumn(
+        "h", hashed(F.col("body")).cast("long")
     )
+    keys = saved(rows.select("doc_id", "h", F.sha2("body", 256).alias("text_sha256")), "text-keys")
+    counts = saved(keys.groupBy("h").agg(F.count("*").alias("n")), "text-hashes")
+    levels = directory(counts.select("h"), capacity)
+    pages = index_pages(rows, counts, levels)
+    found = in_buckets(keys, levels).join(pages, ["bucket", "h", "text_sha256"])
     return found.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256", "link",
