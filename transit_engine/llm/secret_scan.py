@@ -39,51 +39,131 @@ KEY = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
 
-SPAN = "array<struct<start: bigint, end: bigint, kind: int>>"
+ONE_SPAN = "struct<start: bigint, end: bigint, kind: int>"
+SPAN = f"array<{ONE_SPAN}>"
+BLOCK = 256  # items whose values are gathered before they are added to the others
 
 
 def matches(pattern: str, text: Column, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def found(pattern: str, kind: int, text: Column, keep=None) -> Column:
-    """Spans of the leftmost non-overlapping matches; ``keep(text, i)`` drops some of them.
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, also where lambdas use it many times."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Positions are code points from 0, the end is exclusive.
+
+def running(items: Column, zero: Column, step, made, of: str) -> Column:
+    """``made(state, item)`` for each item, a value of SQL type ``of``, where ``state`` comes from ``zero``
+    by ``step(state, item)`` over the items up to and with it.
+
+    An array grows by copying, so values are gathered in blocks, and blocks in an array of them: an array
+    of tens of thousands of items takes time in proportion to its length.
     """
-    whole, between = matches(pattern, text), F.split(text, pattern, -1)
+    def within(state: Column, item: Column) -> Column:
+        now = step(state["now"], item)
+        return F.struct(
+            now.alias("now"), F.concat(state["block"], F.array(made(now, item))).alias("block")
+        )
+
+    def over(state: Column, block: Column) -> Column:
+        start = F.struct(state["now"].alias("now"), F.array().cast(f"array<{of}>").alias("block"))
+        return once(
+            F.aggregate(block, start, within),
+            lambda r: F.struct(
+                r["now"].alias("now"), F.concat(state["blocks"], F.array(r["block"])).alias("blocks")
+            ),
+        )
+
+    def cut(whole: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(whole), F.lit(1)), F.lit(BLOCK)),
+            lambda at: F.slice(whole, at, F.lit(BLOCK)),
+        )
+
+    first = F.struct(zero.alias("now"), F.array().cast(f"array<array<{of}>>").alias("blocks"))
+    return F.aggregate(once(items, cut), first, over, lambda state: F.flatten(state["blocks"]))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
+def found(pattern: str, kind: int, text: Column, keep=None, group: int = 0) -> Column:
+    """Spans of the leftmost non-overlapping matches; ``keep(part)`` drops some by their ``group``.
+
+    Positions are code points from 0, the end is exclusive. Each pattern runs over the text a fixed
+    number of times, however many matches there are.
+    """
+    whole, between = matches(pattern, text), F.split(text, pattern, -1)
+    parts = whole if not group else matches(pattern, text, group)
     # What follows the last match has no match beside it: cut it off.
-    pairs = F.arrays_zip(
-        F.slice(between, F.lit(1), F.size(whole)).alias("gap"), whole.alias("match")
+    pairs = F.transform(
+        F.arrays_zip(
+            F.slice(between, F.lit(1), F.size(whole)).alias("gap"), whole.alias("match"),
+            parts.alias("part"),
+        ),
+        lambda p: F.struct(
+            F.length(p["gap"]).cast("long").alias("gap"), F.length(p["match"]).cast("long").alias("length"),
+            (keep(p["part"]) if keep else F.lit(True)).alias("stays"),
+        ),
+    )
+    spans = running(
+        pairs, F.lit(0).cast("long"), lambda at, pair: at + pair["gap"] + pair["length"],
+        lambda at, pair: F.struct(
+            (at - pair["length"]).alias("start"), at.alias("end"),
+            F.when(pair["stays"], F.lit(kind)).alias("kind"),
+        ),
+        ONE_SPAN,
     )
-    spans = F.aggregate(pairs, zero, step, lambda state: state["spans"])
-    if keep is not None:
-        spans = F.filter(spans, lambda span, i: keep(text, i))
+    spans = F.filter(spans, lambda span: span["kind"].isNotNull()) if keep else spans
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
-def _long_enough(text: Column, i: Column) -> Column:
-    return F.length(F.get(matches(ASSIGN, text, 2), i)) >= ASSIGN_LENGTH
+def _long_enough(part: Column) -> Column:
+    return F.length(part) >= ASSIGN_LENGTH
 
 
-def _mixed(text: Column, i: Column) -> Column:
-    match = F.get(matches(KEY, text), i)
-    return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+def _mixed(part: Column) -> Column:
+    return part.rlike("[0-9]") & part.rlike("[A-Za-z]")
 
 
 def _apart(spans: Column, others: Column) -> Column:
-    def free(span: Column) -> Column:
-        return ~F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+    """The spans that touch none of the others: none that starts at or before them reaches into them, none starts in them.
+
+    Both are put in one order by start. A pass from the left carries the last end of the others, one from
+    the right the first start.
+    """
+    def marked(side: Column, other: bool) -> Column:
+        return F.transform(
+            side,
+            lambda s: F.struct(
+                s["start"].alias("start"), F.lit(0 if other else 1).alias("side"), s["end"].alias("end"),
+                s["kind"].alias("kind"), F.lit(True).alias("free"),
+            ),
+        )
+
+    def swept(items: Column, zero: int, further, clear) -> Column:
+        return running(
+            items, F.lit(zero).cast("long"),
+            lambda edge, s: F.when(s["side"] == 0, further(edge, s)).otherwise(edge),
+            lambda edge, s: F.struct(
+                s["start"].alias("start"), s["side"].alias("side"), s["end"].alias("end"),
+                s["kind"].alias("kind"), (s["free"] & clear(edge, s)).alias("free"),
+            ),
+            "struct<start: bigint, side: int, end: bigint, kind: int, free: boolean>",
+        )
 
-    return F.filter(spans, free)
+    # Others come before spans of the same start, so the pass from the left sees them.
+    both = F.array_sort(F.concat(marked(spans, False), marked(others, True)))
+    left = swept(
+        both, -1, lambda edge, s: F.greatest(edge, s["end"]), lambda edge, s: edge <= s["start"]
+    )
+    right = swept(
+        F.reverse(left), 1 << 62, lambda edge, s: F.least(edge, s["start"]),
+        lambda edge, s: edge >= s["end"],
+    )
+    free = F.filter(F.reverse(right), lambda s: (s["side"] == 1) & s["free"])
+    free = F.transform(
+        free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
+    )
+    return F.when(F.size(spans) > 0, free).otherwise(F.array().cast(SPAN))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -91,7 +171,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     base = (
         docs.select("doc_id", text_of().alias("text"))
-        .withColumn("assign", found(ASSIGN, 0, text, _long_enough))
+        .withColumn("assign", found(ASSIGN, 0, text, _long_enough, 2))
         .withColumn("access", found(ACCESS, 1, text))
         .withColumn("hex", found(HEX, 2, text))
         .withColumn("base", F.array_sort(F.concat("assign", "access", "hex"), _by_place))
@@ -164,7 +244,8 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     Spans have start, end (code points, exclusive) and kind (a place in ``KINDS``), by start and
     then kind. Null counts as empty, an empty text has no spans; repeated rows are scanned alike;
-    other columns are not looked at.
+    other columns are not looked at. The time for a text grows with its length, also where
+    matches are dense.
     """
     scan = saved(scanned(docs), "secret-scan")
     lone = scan.where(F.col("text_key").isNull()).select("doc_id", "base", F.col("base").alias("spans"))
