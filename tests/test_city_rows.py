@@ -2,7 +2,8 @@
 
 from conftest import rows
 
-from transit_engine.operators import activity, service_calendar
+from transit_engine.catalog.surrogate import Surrogate
+from transit_engine.operators import access, activity, service_calendar
 
 
 def plan(df) -> str:
@@ -38,3 +39,18 @@ def test_a_calendar_is_dealt_to_tasks_before_it_becomes_dates(spark):
     text = plan(dates)
     assert "REPARTITION_BY_NUM" in text[text.index("Generate"):], text
     assert dates.count() == 280
+
+
+def test_access_is_worked_out_once_for_all_tables_built_on_it(spark):
+    s = Surrogate(spark, "no folder")
+    s.__dict__["stops"] = spark.createDataFrame(
+        [("b", "1", "One", 42.0, -71.0), ("b", "2", "Far", 43.0, -71.0)],
+        "city string, stop_id string, stop_name string, stop_lat double, stop_lon double",
+    )
+    s.__dict__["pois"] = spark.createDataFrame(
+        [("b", 1, "cafe", "food", 42.0, -71.0)],
+        "city string, osm_id int, poi_category string, poi_group string, lat double, lon double",
+    )
+    told = access.stop_poi_access(s.stops, s.pois)
+    assert s.stop_poi_access.dtypes == told.dtypes and rows(s.stop_poi_access) == rows(told)
+    assert "FlatMapCoGroups" in plan(told) and "FlatMapCoGroups" not in plan(s.stop_poi_access)
