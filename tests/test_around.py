@@ -100,3 +100,45 @@ def test_measured_pairs_grow_less_than_all_pairs(spark, monkeypatch):
         nearest = around._nearest(block, np.arange(n))
         assert total.min() > n / 8 * 0.2 and np.isfinite(nearest).all()
     assert measured[1] < 10 * measured[0] and measured[1] < total.sum() / 3
+
+
+def test_a_place_goes_to_few_blocks(spark):
+    """It went to nine cells; now to the blocks within reach, fewer than two on average."""
+    from transit_engine.operators.range_join import Reach
+
+    n = 20_000
+    many = spark.range(n).select(
+        "id", (42.3 + F.rand(1) * 0.2).alias("lat"), (-71.0 + F.rand(2) * 0.2).alias("lon")
+    )
+    for exact in (False, True):
+        near = around._blocks_near(many, ["lat", "lon"], Reach(400.0, POI_BOX_DEG, exact))
+        copies = near.groupBy("id").count()
+        assert copies.count() == n and copies.agg(F.max("count")).first()[0] == 4
+        assert near.count() < 2.5 * n
+        own = around._own_block(many, ["lat", "lon"], Reach(400.0, POI_BOX_DEG, exact))
+        assert own.join(near, ["id", "_band", "_column"], "left_semi").count() == n
+
+
+def test_lines_tell_most_pairs(spark, monkeypatch):
+    """Distances of pairs well within or beyond reach are not worked out for the sums."""
+    import numpy as np
+
+    measured = []
+    reached = around._Block.reached
+    monkeypatch.setattr(
+        around._Block, "reached", lambda self, a, b: measured.append(len(a)) or reached(self, a, b)
+    )
+    rng = np.random.default_rng(3)
+    points = [around._Points.__new__(around._Points) for _ in range(2)]
+    for point in points:
+        point.lat, point.lon = 42.3 + rng.random(5_000) * 0.016, -71.0 + rng.random(5_000) * 0.02
+        point.cos = np.cos(np.radians(point.lat))
+    for box in (POI_BOX_DEG, None, (0.002, 0.003)):
+        block = around._Block(*points, 400.0, box)
+        total, _ = around._totals(block, np.ones((5_000, 1), np.int64), np.ones(5_000, np.int64))
+        counted = sum(measured)
+        pair = np.repeat(np.arange(5_000), 5_000), np.tile(np.arange(5_000), 5_000)
+        near, _ = reached(block, *pair)
+        assert total[:, 0].tolist() == near.reshape(5_000, 5_000).sum(axis=1).tolist()
+        assert box == (0.002, 0.003) or counted < 100
+        measured.clear()
