@@ -3,8 +3,7 @@
 from conftest import rows
 
 from transit_engine.catalog.surrogate import Surrogate
-from transit_engine.operators import access, activity, service_calendar, serving
-from transit_engine.plans import snapshot
+from transit_engine.operators import access, activity, service_calendar
 
 
 def plan(df) -> str:
@@ -57,31 +56,14 @@ def test_access_is_worked_out_once_for_all_tables_built_on_it(spark):
     assert "FlatMapCoGroups" in plan(told) and "FlatMapCoGroups" not in plan(s.stop_poi_access)
 
 
-def test_stop_times_are_joined_once_for_all_route_tables(spark, tmp_path):
-    """A detail joined them anew for every table it is built on."""
+def test_running_dates_are_worked_out_once(spark, tmp_path):
+    """Days per service and days per feed each worked them out anew."""
     spark.createDataFrame(
-        [(1, 10, "F", 5.0), (2, 10, "F", 5.0), (3, 11, "F", 5.0)],
-        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
-    ).write.parquet(str(tmp_path / "orders.parquet"))
-    spark.createDataFrame(
-        [(order, part, 1, line, 1.0, "N", "O") for order in (1, 2, 3) for line, part in enumerate((4, 6))],
-        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
-        "l_returnflag string, l_linestatus string",
-    ).write.parquet(str(tmp_path / "lineitem.parquet"))
-    spark.createDataFrame(
-        [(10, "Ten", 1, "BUILDING"), (11, "Eleven", 1, "BUILDING")],
+        [(10, "Ten", 1, "BUILDING"), (23, "More", 1, "BUILDING")],
         "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
     ).write.parquet(str(tmp_path / "customer.parquet"))
-    spark.createDataFrame(
-        [(4, "Four", 1), (6, "Six", 1)], "p_partkey long, p_name string, p_size int",
-    ).write.parquet(str(tmp_path / "part.parquet"))
     s = Surrogate(spark, str(tmp_path))
-    detail = serving.route_detail(
-        s.analytics.summary, s.analytics.stop_context, s.route_shapes, snapshot.featured_routes(s.analytics)
-    )
-    assert any("lineitem.parquet" in file for file in s.events.inputFiles())
-    assert not any("lineitem.parquet" in file for file in detail.inputFiles())
-    once = activity.route_stop_counts(s.events)
-    assert rows(s.known_counts) == rows(once) and len(rows(once)) > 2
-    assert rows(s.route_activity, "route_id", "stop_event_count", "distinct_trip_count")
-    assert rows(detail, "city", "route_id")
+    dates = s.known_dates
+    assert not any("customer.parquet" in file for file in dates.inputFiles())
+    assert rows(dates) == rows(s.active_dates) and dates.count() > 2
+    assert rows(s.known_feed_days) == rows(s.feed_days)
