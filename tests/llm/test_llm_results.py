@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from transit_engine.llm import (
     bpe,
+    common,
     components,
     embedding_dedup,
     exact_dedup,
@@ -139,6 +140,31 @@ def test_components_of_chains_stars_and_rings(spark):
     assert sorted(map(len, groups.values())) == [1, 1, 1]
 
 
+def test_steps_of_few_rows_are_few_files(spark, monkeypatch, tmp_path):
+    """Also where a shuffle has many partitions that are not put together."""
+    steps = (f"{tmp_path}/{k}" for k in range(1000))
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: f"{next(steps)}-{name}")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = [(i, i + 1) for i in range(400)]
+        rows = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        texts = [(i, " ".join(f"w{i + k}" for k in range(5))) for i in range(200)]
+        simhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 401 and len({r["root"] for r in rows}) == 1
+    files = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+    few = ("component-labels", "component-parents", "distinct-fingerprints", "fingerprint-groups")
+    assert {n: files[n] for n in files if n.endswith(few) and files[n] > 1} == {}
+    # The edges as they come are written before they are counted.
+    assert sum(n for k, n in files.items() if k.endswith("component-edges")) < 2 * 40 + len(files)
+    assert not any(k.endswith("fingerprint-edges") for k in files)
+
+
 def test_exact_dedup_with_colliding_hashes_and_small_buckets(spark, texts):
     docs = table(spark, SF, "documents")
     rows = exact_dedup.exact_groups(docs, lambda body: F.length(body) % 7, capacity=3).collect()

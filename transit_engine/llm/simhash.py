@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transit_engine.llm.common import saved
+from transit_engine.llm.common import saved, saved_narrow
 from transit_engine.llm.components import components
 
 SHINGLE = 3
@@ -286,15 +286,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, leaf: int = LEAF) -
     Repeated rows are alike. Other columns are not looked at; an empty table gives an empty result.
     """
     prints = saved(fingerprints(docs, shingle), "fingerprints")
-    distinct = saved(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints"
+    distinct = saved_narrow(
+        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints",
+        prints.count(),
     )
-    roots = components(saved(fingerprint_edges(distinct, leaf), "fingerprint-edges"))
+    roots = components(fingerprint_edges(distinct, leaf))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = saved(named.join(smallest, "root").select("fp", "component_id"), "fingerprint-groups")
+    found = saved_narrow(
+        named.join(smallest, "root").select("fp", "component_id"), "fingerprint-groups", distinct.count()
+    )
     return prints.join(found, "fp").select("doc_id", "fp", "text_key", "component_id")
 
 
