@@ -165,6 +165,28 @@ def test_steps_of_few_rows_are_few_files(spark, monkeypatch, tmp_path):
     assert not any(k.endswith("fingerprint-edges") for k in files)
 
 
+def test_mix_steps_are_few_files(spark, monkeypatch, tmp_path):
+    """Also where the input and a shuffle have many partitions, with a source gone on with behind long documents."""
+    texts = [(i, "w " * (2000 if i % 90 == 1 else 1 + i % 7), (f"s{i % 4}", None)[i % 5 == 0]) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(20)
+    expected = sorted(map(tuple, mixing.mix(docs).drop("row").collect()))
+    steps = (f"{tmp_path}/{k}" for k in range(1000))
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: f"{next(steps)}-{name}")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows = mixing.mix(docs).drop("row").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, rows)) == expected
+    files = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+    assert any(k.endswith("-ranges") for k in files)
+    assert {n: files[n] for n in files if files[n] > 1} == {}
+
+
 def test_exact_dedup_with_colliding_hashes_and_small_buckets(spark, texts):
     docs = table(spark, SF, "documents")
     rows = exact_dedup.exact_groups(docs, lambda body: F.length(body) % 7, capacity=3).collect()

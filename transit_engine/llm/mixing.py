@@ -9,7 +9,8 @@ much longer than the others, the order is gone on with behind each document that
 source of few documents the fractional repetition is the best of all their subsets.
 
 Only DataFrame functions. A source may hold most rows: it is cut into bins of the seeded order, and
-only the bin in which the target falls is ordered row by row.
+only the bin in which the target falls is ordered row by row. Steps are a row per distinct document
+or per source, and are written in files that follow their rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transit_engine.llm.common import WORD, saved, text_of
+from transit_engine.llm.common import WORD, saved_narrow, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -48,7 +49,7 @@ def source_key(column: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit(""))
 
 
-def ranked_sources(sizes: DataFrame) -> DataFrame:
+def ranked_sources(sizes: DataFrame, n_sources: int) -> DataFrame:
     """One row per source with its words and its rank by code point, null last.
 
     Ranks are counted per range of sources and shifted by what the ranges before hold, so that
@@ -56,8 +57,8 @@ def ranked_sources(sizes: DataFrame) -> DataFrame:
     """
     sources = sizes.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
     last = F.col("source").asc_nulls_last()
-    ranged = saved(
-        sources.repartitionByRange(last).withColumn("part", F.spark_partition_id()), "sources"
+    ranged = saved_narrow(
+        sources.repartitionByRange(last).withColumn("part", F.spark_partition_id()), "sources", n_sources
     )
     before = ranged.groupBy("part").agg(F.count("*").alias("n")).select(
         "part",
@@ -97,7 +98,10 @@ def source_targets(
     """skey, source_size, target: the words each source has and gives."""
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     weight = F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int"))
-    sources = saved(ranked_sources(sizes).withColumn("weight", weight), "source-weights")
+    n_sources = sizes.select("skey").distinct().count()
+    sources = saved_narrow(
+        ranked_sources(sizes, n_sources).withColumn("weight", weight), "source-weights", n_sources
+    )
     total = float(sources.agg(F.sum("source_size")).first()[0] or 0) * share
     level = water_level(sources, total, epochs)
     target = F.least(F.col("source_size") * F.lit(float(epochs)), F.col("weight") * F.lit(level))
@@ -118,27 +122,30 @@ def mix(
         F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count().alias("size"),
         source_key().alias("skey"), seeded_order(seed).alias("u"),
     )
-    sizes = saved(named.select("source", "size", "skey", "u"), "sizes")
+    n_docs = docs.count()
+    sizes = saved_narrow(
+        named.groupBy("skey", "source", "u").agg(
+            F.sum("size").alias("size"), F.max("size").alias("each")
+        ),
+        "mix-units", n_docs,
+    )
     whole = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
     ).otherwise(F.lit(0))
-    targets = saved(
-        source_targets(sizes, weights, share, epochs).withColumn("whole", whole.cast("long"))
+    found = source_targets(sizes, weights, share, epochs)
+    n_sources = found.count()
+    targets = saved_narrow(
+        found.withColumn("whole", whole.cast("long"))
         .withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")),
-        "targets",
-    )
-    units = saved(
-        sizes.where(F.col("size") > 0).groupBy("skey", "u").agg(
-            F.sum("size").alias("size"), F.max("size").alias("each")
-        ),
-        "mix-units",
+        "targets", n_sources,
     )
+    units = sizes.where(F.col("size") > 0).select("skey", "u", "size", "each")
     # Written, so that its size, a row per source, is known when the join is planned.
-    cuts = saved(
-        targets.join(_cuts(units, targets), "skey", "left").select(
+    cuts = saved_narrow(
+        targets.join(_cuts(units, targets, n_docs), "skey", "left").select(
             "skey", "source_size", "target", "whole", "edge", "fillers", "ranges"
         ),
-        "cuts",
+        "cuts", n_docs,
     )
     extra = (F.col("u") <= F.col("edge")) | F.array_contains("fillers", F.col("u")) | _within("size")
     repeats = F.col("whole") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
@@ -148,7 +155,7 @@ def mix(
     )
 
 
-def _prefix(units: DataFrame, targets: DataFrame) -> DataFrame:
+def _prefix(units: DataFrame, targets: DataFrame, n_units: int) -> DataFrame:
     """skey, part, edge, gap: documents up to ``edge`` fit into ``part``, the next one doesn't.
 
     Sources whose documents all fit are left out.
@@ -166,11 +173,11 @@ def _prefix(units: DataFrame, targets: DataFrame) -> DataFrame:
             "skey", F.shiftright("u", ORDER_BITS - done).alias("bin"), "part", "before"
         ).agg(F.sum("size").alias("held"))
         upto = F.col("before") + F.sum("held").over(Window.partitionBy("skey").orderBy("bin"))
-        crossing = saved(
+        crossing = saved_narrow(
             bins.withColumn("upto", upto)
             .where((F.col("upto") > F.col("part")) & (F.col("upto") - F.col("held") <= F.col("part")))
             .select("skey", "part", "bin", (F.col("upto") - F.col("held")).alias("before")),
-            "crossing",
+            "crossing", n_units,
         )
     bin_of = F.shiftright("u", ORDER_BITS - done)
     running = F.sum("size").over(Window.partitionBy("skey").orderBy("u"))
@@ -179,26 +186,27 @@ def _prefix(units: DataFrame, targets: DataFrame) -> DataFrame:
         .withColumn("upto", F.col("before") + running).where(F.col("upto") <= F.col("part"))
         .groupBy("skey").agg(F.max("u").alias("last"), F.max("upto").alias("upto"))
     )
-    return saved(
+    return saved_narrow(
         crossing.join(inside, "skey", "left").select(
             "skey", "part",
             F.coalesce(F.col("last"), F.shiftleft(F.col("bin"), ORDER_BITS - done) - 1).alias("edge"),
             (F.col("part") - F.coalesce(F.col("upto"), F.col("before"))).alias("gap"),
         ),
-        "edges",
+        "edges", n_units,
     )
 
 
-def _cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
+def _cuts(units: DataFrame, targets: DataFrame, n_units: int) -> DataFrame:
     """skey, edge, fillers, ranges: what the fractional repetition takes.
 
     That is what comes up to ``edge``, or in sources with ``ranges`` what lies in one of them, and
-    ``fillers``.
+    ``fillers``. ``units`` has at most ``n_units`` rows.
     """
     counts = units.groupBy("skey").agg(F.count(F.lit(1)).alias("n"))
-    few = saved(counts.where(F.col("n") <= FEW).select("skey"), "few")
+    few = saved_narrow(counts.where(F.col("n") <= FEW).select("skey"), "few", n_units)
     best = _best_subsets(units.join(few, "skey"), targets)
-    return best.unionByName(_many_cuts(units.join(few, "skey", "left_anti"), targets))
+    many = units.join(few, "skey", "left_anti")
+    return best.unionByName(_many_cuts(many, targets, n_units))
 
 
 def _best_subsets(units: DataFrame, targets: DataFrame) -> DataFrame:
@@ -225,9 +233,9 @@ def _best_subsets(units: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def _many_cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
+def _many_cuts(units: DataFrame, targets: DataFrame, n_units: int) -> DataFrame:
     """The cuts of sources of many documents."""
-    edges = _prefix(units, targets)
+    edges = _prefix(units, targets, n_units)
     cuts = edges.withColumn("fillers", F.array().cast("array<bigint>"))
     off = F.abs(F.col("size") - F.col("gap"))
     fresh = (F.col("u") > F.col("edge")) & ~F.array_contains("fillers", F.col("u"))
@@ -239,50 +247,50 @@ def _many_cuts(units: DataFrame, targets: DataFrame) -> DataFrame:
         taken = F.when(F.col("best").isNull(), F.col("fillers")).otherwise(
             F.concat("fillers", F.array("best.u"))
         )
-        cuts = saved(
+        cuts = saved_narrow(
             cuts.join(nearest, "skey", "left").select(
                 "skey", "edge", (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
                 taken.alias("fillers"),
             ),
-            "fillers",
+            "fillers", n_units,
         )
     missed = F.abs(F.col("gap")) > F.col("target") * F.lit(NEAR)
-    far = saved(
+    far = saved_narrow(
         cuts.join(targets.select("skey", "target", "part"), "skey").where(missed)
         .select("skey", "part", F.abs(F.col("gap")).alias("off")),
-        "far",
+        "far", n_units,
     )
     cuts = cuts.select("skey", "edge", "fillers", F.array().cast(RANGES).alias("ranges"))
     if far.isEmpty():
         return cuts
-    nearer = _ranges(units, far)
+    nearer = _ranges(units, far, n_units)
     return cuts.join(nearer, "skey", "left_anti").unionByName(nearer)
 
 
-def _ranges(units: DataFrame, far: DataFrame) -> DataFrame:
+def _ranges(units: DataFrame, far: DataFrame, n_units: int) -> DataFrame:
     """The cuts of sources that come nearer when documents that don't fit are set aside one by one.
 
     Each round goes on behind the document that didn't fit, with those not larger than what is
     missing, until none of them is left; one of the size nearest to the rest may come last.
     """
     start = F.lit(-1).cast("long")
-    state = saved(
+    state = saved_narrow(
         far.select("skey", "part", start.alias("after"), F.col("part").alias("gap"),
                    F.array().cast(RANGES).alias("ranges")),
-        "ranges",
+        "ranges", n_units,
     )
     top = (1 << ORDER_BITS) - 1
     while True:
         fits = (F.col("u") > F.col("after")) & (F.col("each") <= F.col("gap"))
-        left = saved(
+        left = saved_narrow(
             units.join(state.select("skey", "after", "gap"), "skey").where(fits)
             .select("skey", "u", "size", "each"),
-            "left",
+            "left", n_units,
         )
         if left.isEmpty():
             break
         held = left.groupBy("skey").agg(F.sum("size").alias("held"))
-        reached = _prefix(left, state.select("skey", F.col("gap").alias("part")))
+        reached = _prefix(left, state.select("skey", F.col("gap").alias("part")), n_units)
         # What comes behind the edge didn't fit; where nothing did not, all is taken.
         blocks = left.join(reached, "skey").where(F.col("u") > F.col("edge")).groupBy("skey").agg(
             F.min("u").alias("block")
@@ -296,7 +304,7 @@ def _ranges(units: DataFrame, far: DataFrame) -> DataFrame:
         one = F.struct(
             F.col("after"), F.coalesce("edge", F.lit(top)).alias("upto"), F.col("gap").alias("limit")
         )
-        state = saved(
+        state = saved_narrow(
             found.select(
                 "skey", "part",
                 F.when(gone, F.coalesce("block", F.lit(top))).otherwise(F.col("after")).alias("after"),
@@ -304,7 +312,7 @@ def _ranges(units: DataFrame, far: DataFrame) -> DataFrame:
                 .alias("gap"),
                 F.when(gone, F.concat("ranges", F.array(one))).otherwise(F.col("ranges")).alias("ranges"),
             ),
-            "ranges",
+            "ranges", n_units,
         )
     off = F.abs(F.col("size") - F.col("gap"))
     last = (
@@ -313,13 +321,13 @@ def _ranges(units: DataFrame, far: DataFrame) -> DataFrame:
     )
     rest = F.coalesce("best.off", F.col("gap"))
     none = F.array().cast("array<bigint>")
-    return saved(
+    return saved_narrow(
         state.join(last, "skey", "left").join(far.select("skey", "off"), "skey").where(rest < F.col("off"))
         .select(
             "skey", start.alias("edge"),
             F.when(F.col("best").isNull(), none).otherwise(F.array("best.u")).alias("fillers"), "ranges",
         ),
-        "nearer",
+        "nearer", n_units,
     )
 
 
