@@ -142,3 +142,76 @@ def test_lines_tell_most_pairs(spark, monkeypatch):
         assert total[:, 0].tolist() == near.reshape(5_000, 5_000).sum(axis=1).tolist()
         assert box == (0.002, 0.003) or counted < 100
         measured.clear()
+
+
+@pytest.mark.parametrize("lat, spread, exact, split_rows, seed", [
+    (42.3, 0.003, False, None, 1), (42.3, 0.02, False, None, 2), (42.3, 0.004, False, 150, 3),
+    (69.0, 0.01, True, None, 4), (60.0, 0.006, False, None, 5), (0.0, 0.0002, False, None, 6),
+])
+def test_folded_pairs_equal_the_pairs(spark, lat, spread, exact, split_rows, seed):
+    from transit_engine.constants import POI_RADIUS_M
+    from transit_engine.functions.geo import finite
+    from transit_engine.operators.range_join import Reach, near_pairs
+
+    _, _, stops, pois = made_up(spark, 400, lat, spread, seed)
+    # Copies of a row, ids that come at two places, and rows without an id.
+    moved = stops.where("stop_id < '2'").withColumn("stop_lat", F.col("stop_lat") + 0.001)
+    nameless = stops.where("stop_id > '35'").withColumn("stop_id", F.lit(None).cast("string"))
+    stops = stops.unionByName(stops.where("stop_id < '15'")).unionByName(moved).unionByName(nameless)
+    pois = pois.unionByName(pois.where("osm_id % 3 = 0"))
+    stops, pois = stops.select("city", "stop_id", "stop_lat", "stop_lon"), pois.select("city", "osm_id", "lat", "lon")
+    how = ["stop_lat", "stop_lon"], ["lat", "lon"], Reach(POI_RADIUS_M, POI_BOX_DEG, exact)
+    known = stops.where(finite(F.col("stop_lat"))), pois.where(finite(F.col("lat")))
+    expected = near_pairs(*known, *how).groupBy("city", "stop_id").agg(
+        F.count(F.lit(1)).alias("pairs"), F.min("distance_m").alias("nearest_m"),
+        F.max("distance_m").alias("farthest_m"), F.sum(F.floor("distance_m")).alias("whole_metres"),
+    )
+    names = ["city", "stop_id", "pairs", "whole_metres", F.round("nearest_m", 6), F.round("farthest_m", 6)]
+    folded = near_pairs(stops, pois, *how, split_rows=split_rows, per=["stop_id"])
+    assert folded.columns == expected.columns and folded.dtypes == expected.dtypes
+    assert len(rows(expected, *names)) > 300 and rows(folded, *names) == rows(expected, *names)
+
+
+def test_distances_next_to_a_whole_metre_and_the_edge(spark):
+    """Lines don't tell them from rounding; places are put there on purpose."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    points = [around._Points.__new__(around._Points) for _ in range(2)]
+    points[0].lat, points[0].lon = np.full(5, 42.3), np.full(5, -71.0)
+    metres = np.concatenate([
+        np.arange(0, 402) + step for step in (0.0, 1e-9, -1e-9, 1e-8, -1e-8, 3e-7, -3e-7)
+    ])
+    points[1].lat = 42.3 + metres / (math.pi * around.EARTH_RADIUS_M / 180)
+    points[1].lon = np.full(len(metres), -71.0)
+    for point in points:
+        point.cos = np.cos(np.radians(point.lat))
+    number = rng.integers(1, 4, len(metres))
+    block = around._Block(*points, 400.0, POI_BOX_DEG)
+    pairs, nearest, farthest, whole = around._measured(block, number)
+    near, distance = block.reached(np.zeros(len(metres), np.int64), np.arange(len(metres)))
+    assert (pairs == number[near].sum()).all()
+    assert (whole == (np.floor(distance) * number)[near].sum()).all()
+    assert (nearest == distance.min()).all() and (farthest == distance[near].max()).all()
+
+
+def test_pairs_of_a_dense_region_are_folded_as_matrices(spark):
+    """100 million pairs: as rows of a join they took minutes here."""
+    import time
+
+    from transit_engine.constants import POI_RADIUS_M
+    from transit_engine.operators.range_join import Reach, near_pairs
+
+    def scattered(n, id_, lat, lon):
+        return spark.range(n).select(
+            F.lit("b").alias("city"), F.col("id").alias(id_), (42.3 + F.rand(1) * 0.002).alias(lat),
+            (-71.0 + F.rand(2) * 0.002).alias(lon),
+        )
+
+    started = time.monotonic()
+    folded = near_pairs(
+        scattered(10_000, "stop_id", "stop_lat", "stop_lon"), scattered(10_000, "osm_id", "lat", "lon"),
+        ["stop_lat", "stop_lon"], ["lat", "lon"], Reach(POI_RADIUS_M, POI_BOX_DEG), per=["stop_id"],
+    )
+    assert folded.agg(F.sum("pairs")).first()[0] == 10_000 * 10_000
+    assert time.monotonic() - started < 60
