@@ -67,3 +67,39 @@ def test_running_dates_are_worked_out_once(spark, tmp_path):
     assert not any("customer.parquet" in file for file in dates.inputFiles())
     assert rows(dates) == rows(s.active_dates) and dates.count() > 2
     assert rows(s.known_feed_days) == rows(s.feed_days)
+
+
+def small_transit(spark, folder):
+    """Three orders with the rows of their schedule, and what they refer to."""
+    tables = {
+        "part": ([(i, f"P{i}", i) for i in (1, 2, 3)], "p_partkey long, p_name string, p_size int"),
+        "customer": (
+            [(10, "Ten", 1, "BUILDING"), (23, "More", 1, "BUILDING")],
+            "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+        ),
+        "orders": (
+            [(4, 10, "O", 1.0), (6, 10, "O", 2.0), (8, 23, "O", 3.0)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
+        ),
+        "lineitem": (
+            [(4, 1, 1, 1, 1.0, "A", "F"), (4, 2, 1, 2, 1.0, "A", "F"), (6, 2, 1, 1, 1.0, "A", "F"),
+             (8, 3, 1, 1, 1.0, "A", "F")],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+            "l_returnflag string, l_linestatus string",
+        ),
+    }
+    for name, (content, schema) in tables.items():
+        spark.createDataFrame(content, schema).write.parquet(f"{folder}/{name}.parquet")
+    return Surrogate(spark, str(folder))
+
+
+def test_routes_are_put_together_from_steps(spark, tmp_path):
+    """Previews and details joined the schedule anew for each table that they read."""
+    s = small_transit(spark, tmp_path)
+    steps, plain = s.routed, s.analytics
+    for name in ("route_activity", "stop_activity_by_route", "route_poi_access"):
+        assert rows(getattr(steps, name)) == rows(getattr(plain, name)) and getattr(steps, name).count()
+    assert rows(s.routed_stops) == rows(plain.stop_context)
+    for df in (steps.summary, steps.stop_context, s.routed_stops):
+        assert not any("lineitem" in file or "orders" in file for file in df.inputFiles())
+    assert any("lineitem" in file for file in plain.stop_context.inputFiles())

@@ -164,3 +164,25 @@ def test_pieces_join_to_the_same_line(spark, count):
     whole = [r["path"] for r in serving.route_paths(shape).collect()]
     assert [line] == whole if count > 1 else not pieces
     assert all(2 <= len(path) <= 5 for path in pieces)
+
+
+def test_the_shuffles_of_a_step_leave_the_disks_with_it(spark):
+    """They stayed until the driver's memory was tidied up, those of all steps beside each other."""
+    from pathlib import Path
+
+    from transit_engine.operators.ranked import freed, written
+
+    def files():
+        folders = [Path(str(f)) for f in spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+        return {f.name for folder in folders for f in folder.rglob("shuffle_*.data")}
+
+    def left(step):
+        before = files()
+        assert step(spark.range(50_000).groupBy(F.pmod(F.xxhash64("id"), F.lit(5_000))).count(), "x").count() == 5_000
+        return files() - before
+
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    # The count after a step has a shuffle of its own, of one row.
+    kept, gone = len(left(written)), len(left(freed))
+    assert gone < kept
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
