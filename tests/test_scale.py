@@ -186,3 +186,14 @@ def test_the_shuffles_of_a_step_leave_the_disks_with_it(spark):
     kept, gone = len(left(written)), len(left(freed))
     assert gone < kept
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_only_groups_that_go_on_have_offsets(spark):
+    """Every group of every stretch had a row, joined to all rows: as many as there are groups."""
+    many = spark.range(20_000).select(F.floor(F.col("id") / 3).alias("g"), "id")
+    ranked = in_order(many, ["g"], ["id"], "place", stretches=8)
+    joined = [line for line in plan(ranked).splitlines() if "Join" in line]
+    assert len(joined) == 1 and "BroadcastHashJoin" in joined[0], joined
+    assert ranked.where("place != id % 3 + 1").count() == 0 and ranked.count() == 20_000
+    nulls = spark.range(3_000).select(F.lit(None).cast("string").alias("g"), "id")
+    assert in_order(nulls, ["g"], ["id"], "place", stretches=8).where("place != id + 1").count() == 0

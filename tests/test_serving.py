@@ -137,3 +137,19 @@ def test_warehouse_skips_missing_cities(spark, tmp_path):
     spark.createDataFrame([(1,)], "n int").write.parquet(str(tmp_path / "b" / "d"))
     parts = datasets.city_folders(spark, {c: str(tmp_path / c) for c in ("b", "c")}, "d")
     assert datasets.warehouse_union(parts).columns == ["N"] and len(parts) == 1
+
+
+def test_parts_of_a_route_without_summary_are_left_out_before_they_are_made(spark):
+    """Heads were worked out a second time to tell; now the summary tells."""
+    shapes = spark.createDataFrame(
+        [("b", route, "a", i, 42.0 + i, -71.0) for route in ("1", "9") for i in range(4)],
+        "city string, route_id string, shape_id string, shape_pt_sequence int, "
+        "shape_pt_lat double, shape_pt_lon double",
+    )
+    wanted = spark.createDataFrame([("b", "1"), ("b", "9")], "city string, route_id string")
+    context = route_stops(spark, ("1", "a", "Alpha", 3, 1, ""), ("9", "b", "Bravo", 3, 1, ""))
+    parts = serving.route_detail_parts(summaries(spark), context, shapes, wanted, piece_points=2)
+    found = rows(parts, "route_id", "part", "shape_id", "piece", F.size("stops"), F.size("path"))
+    assert found == [("1", 0, None, None, 1, None), *[("1", i + 1, "a", i, None, 2) for i in range(3)]]
+    text = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("collect_list") == 1  # the stops of heads, once; pieces are written
